@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.functions.codes import blank_to_null, equity_code, sql_equity_code, sql_strip, yyyymmdd
+from tapeloom.operators.archive import SMALL_BYTES, index, pack, plan_blocks, record_files, records, small_files, unpack
 from tapeloom.operators.bars import daily_amount, lineage
+from tapeloom.operators.drift import edit_scripts, unify
 from tapeloom.operators.known_at import known_at
 from tapeloom.operators.trailing import trailing_totals
 from tapeloom.session import materialize, table
@@ -80,7 +82,7 @@ def p7_totals(spark: SparkSession, d: str) -> DataFrame:
         out += [
             F.round(f"amount_sum_{span}d", 6).alias(f"amount_total_{span}d"),
             F.round(F.col(f"amount_sum_{span}d") / F.col(f"days_{span}d"), 6).alias(f"amount_avg_{span}d"),
-            F.round(F.try_divide(F.col(f"close_sum_{span}d"), F.col(f"close_n_{span}d").cast("double")), 6).alias(f"close_avg_{span}d"),
+            F.round(F.try_divide(F.col(f"close_sum_{span}d"), F.col(f"close_n_{span}d").cast("double")), 8).alias(f"close_avg_{span}d"),
         ]
     return totals.select(*out)
 
@@ -90,16 +92,63 @@ SELECT code AS equity_code, strftime(date, '%Y%m%d') AS date,
 """ + ",\n".join(
     f"""  round(sum(coalesce(amount, 0)) OVER w{s}, 6) AS amount_total_{s}d,
   round(sum(coalesce(amount, 0)) OVER w{s} / least({s}, date_diff('day', lo, date) + 1), 6) AS amount_avg_{s}d,
-  round(avg(close) OVER w{s}, 6) AS close_avg_{s}d"""
+  round(avg(close) OVER w{s}, 8) AS close_avg_{s}d"""
     for s in (7, 30)
 ) + """
 FROM dense WINDOW w7 AS (PARTITION BY code ORDER BY date ROWS 6 PRECEDING), w30 AS (PARTITION BY code ORDER BY date ROWS 29 PRECEDING)
 """
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    small = small_files(table(spark, d, "ods_gcs_load_manifest"), table(spark, d, "parquet_manifest"))
+    return plan_blocks(materialize(small, "p5-small")).select(F.col("path").alias("gcs_uri"))
+
+
+P5_SQL = f"""
+WITH newest AS (
+  SELECT gcs_uri, arg_max(struct_pack(s := status, z := object_size), try_cast(object_generation AS HUGEINT)) AS r
+  FROM ods_gcs_load_manifest WHERE gcs_uri IS NOT NULL GROUP BY 1),
+listed AS (SELECT gcs_uri, max(size) AS size FROM parquet_manifest GROUP BY 1)
+SELECT gcs_uri FROM newest LEFT JOIN listed USING (gcs_uri)
+WHERE lower({sql_strip('r.s')}) IS DISTINCT FROM 'invalid' AND coalesce(r.z, size) < {SMALL_BYTES}
+"""
+
+
+def _archive(spark: SparkSession, d: str) -> DataFrame:
+    return materialize(pack(materialize(record_files(table(spark, d, "file_raw_row")), "p5-files")), "p5-blocks")
+
+
+def p5_index(spark: SparkSession, d: str) -> DataFrame:
+    """The index of the archive that holds all record files: where each one's bytes are, and their checksum."""
+    return index(_archive(spark, d))
+
+
+def p5_rows(spark: SparkSession, d: str) -> DataFrame:
+    """All records, read back out of the archive blocks."""
+    return records(unpack(_archive(spark, d)))
+
+
+P5_ROWS_SQL = "SELECT gcs_uri, row_no, payload FROM file_raw_row"
+
+
+def _scripts(spark: SparkSession, d: str) -> DataFrame:
+    return edit_scripts(table(spark, d, "file_footer"), table(spark, d, "file_raw_row"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    changes = _scripts(spark, d).where("kind IN ('added', 'removed', 'renamed', 'retyped')")
+    name = F.when(F.col("kind") == "removed", F.col("old")).otherwise(F.col("new"))
+    return changes.select("gcs_uri", name.alias("column_name"), F.col("kind").alias("change_kind"))
+
+
+def p6_unified(spark: SparkSession, d: str) -> DataFrame:
+    """All records of all files as one table in one schema."""
+    return unify(table(spark, d, "file_footer"), table(spark, d, "file_raw_row"), materialize(_scripts(spark, d), "p6-scripts"))
+
+
 def queries() -> dict[str, Query]:
-    return {"p4_found": p4_found, "p7_found": p7_found, "p7_totals": p7_totals}
+    return {"p5_found": p5_found, "p5_index": p5_index, "p5_rows": p5_rows, "p6_found": p6_found, "p6_unified": p6_unified, "p4_found": p4_found, "p7_found": p7_found, "p7_totals": p7_totals}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": P4_SQL, "p7_found": P7_SQL, "p7_totals": P7_TOTALS_SQL}
+    return {"p5_found": P5_SQL, "p5_rows": P5_ROWS_SQL, "p4_found": P4_SQL, "p7_found": P7_SQL, "p7_totals": P7_TOTALS_SQL}
