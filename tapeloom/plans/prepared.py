@@ -12,13 +12,50 @@ from tapeloom.operators.archive import SMALL_BYTES, index, pack, plan_blocks, re
 from tapeloom.operators.bars import daily_amount, lineage
 from tapeloom.operators.drift import edit_scripts, unify
 from tapeloom.operators.known_at import known_at
+from tapeloom.operators.spikes import Limits, flag_readings
 from tapeloom.operators.trailing import trailing_totals
-from tapeloom.session import materialize, table
+from tapeloom.session import materialize, small, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 KLINE, FACTOR, INDICATOR = "dwd_fact_equity_kline_1d", "dwd_fact_adjust_factor", "dwd_fact_financial_indicator"
 
 
+#: What counts as credible. A price reading is far off from 1.22 times, a volume from 49 times the readings around it.
+FILLS = (9999.0, 99999.0, 999999.0)
+KLINE_LIMITS = {
+    "close": Limits(fills=FILLS, far=0.2, sigmas=4.0, edge=2.0, stuck=7, active="volume"),
+    "volume": Limits(zero=True, most=1e13, far=3.9, sigmas=3.0, edge=4.5, stuck=5),
+}
+FACTOR_LIMITS = {"adjust_factor": Limits(fills=FILLS, far=0.05, sigmas=4.0, edge=2.0)}
+
+
+def _incredible(spark: SparkSession, d: str, name: str, limits: dict[str, Limits]) -> DataFrame:
+    code = equity_code(F.col("equity_code")).alias("equity_code")
+    rows = table(spark, d, name).select(code, "adjust_type", "date", *limits, "source_hash")
+    flagged = materialize(flag_readings(rows, ["equity_code", "adjust_type"], "date", limits), "p3-flagged")
+    readings = rows.select(
+        "equity_code", "adjust_type", "date", "source_hash",
+        F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in limits])).alias("r"),
+    ).select("equity_code", "adjust_type", "date", "source_hash", "r.field", "r.value")
+    keys = ["equity_code", "adjust_type", "date", "field", "value"]
+    held = readings.join(small(flagged.select(*keys)), keys)
+    return held.select(F.lit(name).alias("table_name"), "source_hash", F.col("field").alias("field_name")).distinct()
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _incredible(spark, d, KLINE, KLINE_LIMITS).unionByName(_incredible(spark, d, FACTOR, FACTOR_LIMITS))
+
+
+def p3_scores(spark: SparkSession, d: str) -> DataFrame:
+    """The readings that are not credible with their isolation score and the reasons."""
+    out = None
+    for name, limits in ((KLINE, KLINE_LIMITS), (FACTOR, FACTOR_LIMITS)):
+        rows = table(spark, d, name).withColumn("equity_code", equity_code(F.col("equity_code")))
+        flagged = flag_readings(rows, ["equity_code", "adjust_type"], "date", limits).withColumn("table_name", F.lit(name))
+        out = flagged if out is None else out.unionByName(flagged)
+    return out.withColumn("score", F.round("score", 6))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     code = equity_code(F.col("equity_code")).alias("equity_code")
     days = table(spark, d, KLINE).where("adjust_type = 'none' AND date IS NOT NULL").select(code, "date").distinct()
@@ -147,7 +184,7 @@ def p6_unified(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p5_found": p5_found, "p5_index": p5_index, "p5_rows": p5_rows, "p6_found": p6_found, "p6_unified": p6_unified, "p4_found": p4_found, "p7_found": p7_found, "p7_totals": p7_totals}
+    return {"p3_found": p3_found, "p3_scores": p3_scores, "p5_found": p5_found, "p5_index": p5_index, "p5_rows": p5_rows, "p6_found": p6_found, "p6_unified": p6_unified, "p4_found": p4_found, "p7_found": p7_found, "p7_totals": p7_totals}
 
 
 def oracle_sql() -> dict[str, str]:
