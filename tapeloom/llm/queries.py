@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.functions.codes import equity_code, sql_equity_code, yyyymmdd
+from tapeloom.llm.survivors import Quality, judge_values, survivors
 from tapeloom.llm.topn import top_n
 from tapeloom.operators.bars import daily_amount
 from tapeloom.session import materialize, table
@@ -57,9 +58,66 @@ FROM signal WHERE code IS NOT NULL QUALIFY place <= {TOP_SIGNAL}
 """
 
 
+KEY = ["equity_code", "date", "adjust_type"]
+MEASURES = ["open", "high", "low", "close", "volume", "amount"]
+
+
+def _judged(spark: SparkSession, d: str) -> tuple[DataFrame, Quality]:
+    kline = table(spark, d, "dwd_fact_equity_kline_1d").withColumn("equity_code", equity_code(F.col("equity_code")))
+    channel = F.split_part(F.col("source_file"), F.lit("/"), F.lit(1))
+    return judge_values(kline, KEY, MEASURES, channel, "source_file", ["source_file", "source_entry", "source_hash"])
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """The surviving row of each measure: of all judged values the one that comes first in the project's lineage order."""
+    return survivors(_judged(spark, d)[0], KEY).select("equity_code", yyyymmdd(F.col("date")).alias("date"), "adjust_type", F.col("field").alias("field_name"), F.col("best.source_hash").alias("source_hash"))
+
+
+P2_ROWS = f"""
+WITH rows AS (
+  SELECT {sql_equity_code('equity_code')} AS equity_code, date, adjust_type, source_file, source_entry, source_hash,
+    open, high, low, close, volume, amount FROM dwd_fact_equity_kline_1d),
+repeated AS (SELECT *, count(*) OVER (PARTITION BY equity_code, date, adjust_type) AS n FROM rows)"""
+P2_SQL = f"""{P2_ROWS},
+long AS (UNPIVOT (SELECT * FROM repeated WHERE n > 1) ON open, high, low, close, volume, amount INTO NAME field_name VALUE v)
+SELECT equity_code, strftime(date, '%Y%m%d') AS date, adjust_type, field_name, source_hash FROM long
+QUALIFY row_number() OVER (PARTITION BY equity_code, date, adjust_type, field_name
+  ORDER BY source_file DESC NULLS LAST, source_entry DESC NULLS LAST, source_hash DESC NULLS LAST) = 1
+"""
+
+
+def p2_survivors(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each repeated key, each measure from the best delivery that has it."""
+    chosen = survivors(_judged(spark, d)[0], KEY)
+    one = chosen.groupBy(*KEY).agg(*[F.max(F.when(F.col("field") == m, F.col("value"))).alias(m) for m in MEASURES])
+    return one.withColumn("date", yyyymmdd(F.col("date")))
+
+
+P2_SURVIVORS_SQL = f"""{P2_ROWS}
+SELECT equity_code, strftime(date, '%Y%m%d') AS date, adjust_type, """ + ", ".join(
+    f"first({m} ORDER BY source_file DESC NULLS LAST, source_entry DESC NULLS LAST, source_hash DESC NULLS LAST) FILTER (WHERE {m} IS NOT NULL) AS {m}" for m in MEASURES
+) + """
+FROM repeated WHERE n > 1 GROUP BY ALL
+HAVING coalesce(max(open), max(high), max(low), max(close), max(volume), max(amount)) IS NOT NULL
+"""
+
+
+def p2_truth(spark: SparkSession, d: str) -> DataFrame:
+    """Every value of a repeated key's measures that the model of source quality judges true."""
+    values = _judged(spark, d)[0].where("posterior >= 0.5")
+    return values.select(*KEY, "field", "value", F.round("posterior", 6).alias("posterior"), "deliveries").withColumn("date", yyyymmdd(F.col("date")))
+
+
+def p2_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Sensitivity and specificity of each source of kline rows."""
+    q = _judged(spark, d)[1]
+    rows = [(s, round(a, 6), round(b, 6)) for s, a, b in zip(q.sources, q.sensitivity, q.specificity)]
+    return spark.createDataFrame(rows, "source STRING, sensitivity DOUBLE, specificity DOUBLE")
+
+
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_survivors": p2_survivors, "p2_truth": p2_truth, "p2_sources": p2_sources}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL}
+    return {"p1_found": P1_SQL, "p2_found": P2_SQL, "p2_survivors": P2_SURVIVORS_SQL}
