@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.functions.codes import equity_code, sql_equity_code, yyyymmdd
+from tapeloom.llm.encode import encode
 from tapeloom.llm.survivors import Quality, judge_values, survivors
 from tapeloom.llm.topn import top_n
 from tapeloom.operators.bars import daily_amount
@@ -115,8 +116,12 @@ def p2_sources(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(rows, "source STRING, sensitivity DOUBLE, specificity DOUBLE")
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encode(table(spark, d, "documents").select("doc_id", "text"), "text")
+
+
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_survivors": p2_survivors, "p2_truth": p2_truth, "p2_sources": p2_sources}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_survivors": p2_survivors, "p2_truth": p2_truth, "p2_sources": p2_sources, "p8_ids": p8_ids}
 
 
 def oracle_sql() -> dict[str, str]:
