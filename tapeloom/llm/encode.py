@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Where the vocabulary files of public tokenizers are, unless the environment or a parameter says otherwise. Only the driver reads them.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -220,7 +221,7 @@ def encode(df: DataFrame, text: str, ids: str = "ids", vocabulary: str | None =
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary_text(vocabulary))  # one file of a few MB
     rest = [c for c in df.columns if c != text]
-    schema = df.select(*[F.col(f"`{c}`") for c in rest]).schema.add(ids, "array<int>")
+    schema = df.select(*[F.col(f"`{c}`") for c in rest]).schema.add(ids, T.ArrayType(T.IntegerType()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
