@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions.codes import equity_code, sql_equity_code, yyyymmdd
 from tapeloom.llm.encode import encode
+from tapeloom.llm.mix import mix
+from tapeloom.llm.split import source_key, split_texts
 from tapeloom.llm.survivors import Quality, judge_values, survivors
 from tapeloom.llm.topn import top_n
 from tapeloom.operators.bars import daily_amount
-from tapeloom.session import materialize, table
+from tapeloom.session import materialize, small, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,8 +122,28 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode(table(spark, d, "documents").select("doc_id", "text"), "text")
 
 
+def _mixed(spark: SparkSession, d: str):
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_target"), "doc_id", "text", "source")
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with its tokens, rate and copies drawn."""
+    return _mixed(spark, d).documents.withColumnRenamed("id", "doc_id")
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares of all drawn tokens that the sources reach."""
+    return _mixed(spark, d).shares
+
+
+def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
+    limits = table(spark, d, "split_limit").select(source_key(F.col("source")).alias("source"), "max_tokens", "overlap_tokens")
+    docs = table(spark, d, "documents").select("doc_id", source_key(F.col("source")).alias("source"), "text")
+    return split_texts(docs.join(small(limits), "source", "left"), "text", "max_tokens", "overlap_tokens")
+
+
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_survivors": p2_survivors, "p2_truth": p2_truth, "p2_sources": p2_sources, "p8_ids": p8_ids}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_survivors": p2_survivors, "p2_truth": p2_truth, "p2_sources": p2_sources, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
 
 
 def oracle_sql() -> dict[str, str]:
