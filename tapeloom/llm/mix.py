@@ -19,9 +19,11 @@ from tapeloom.session import materialize
 FIT_DOCUMENTS = 400
 #: Sources that may be told apart.
 MAX_SOURCES = 256
-FEATURES, FIT_ROUNDS = 1024, 200
-#: Rounds of the projected gradient, its step, and the error as a share of all tokens at which it stops.
-ROUNDS, STEP, SETTLED = 40, 0.7, 1e-5
+FEATURES, FIT_ROUNDS = 1024, 120
+#: Rounds of the projected gradient, its step, and the change of the errors, as a share of all tokens, at which it stops.
+ROUNDS, STEP, SETTLED = 40, 0.7, 1e-4
+#: Documents of a source whose rates are rounded together.
+SHARD_DOCUMENTS = 20_000
 
 
 def features(text: str | None) -> np.ndarray:
@@ -39,31 +41,33 @@ def features(text: str | None) -> np.ndarray:
 
 @dataclass
 class Classifier:
-    """Softmax regression from features to sources."""
+    """Softmax regression from features to sources; ``prior`` is each source's share of the labelled documents."""
 
     sources: list[str]
     weights: np.ndarray
     bias: np.ndarray
+    prior: np.ndarray
 
     @staticmethod
-    def fit(x: np.ndarray, y: np.ndarray, sources: list[str], rounds: int = FIT_ROUNDS) -> Classifier:
-        """Full-batch gradient with momentum, a little weight decay and each source weighted alike."""
-        k = len(sources)
-        w, b = np.zeros((x.shape[1], k)), np.zeros(k)
+    def fit(x: np.ndarray, y: np.ndarray, sources: list[str], prior: np.ndarray, rounds: int = FIT_ROUNDS) -> Classifier:
+        """Full-batch gradient with momentum and a little weight decay, each source weighted alike."""
+        k, x = len(sources), x.astype(np.float32)
+        w, b = np.zeros((x.shape[1], k), np.float32), np.zeros(k, np.float32)
         if len(x) and k > 1:
-            weight = (1.0 / np.maximum(np.bincount(y, minlength=k), 1))[y]
+            weight = (1.0 / np.maximum(np.bincount(y, minlength=k), 1))[y].astype(np.float32)
             weight /= weight.sum()
-            target = np.eye(k)[y]
+            target = np.eye(k, dtype=np.float32)[y]
             vw, vb = np.zeros_like(w), np.zeros_like(b)
             for _ in range(rounds):
                 g = (_softmax(x @ w + b) - target) * weight[:, None]
-                vw = 0.9 * vw - 20.0 * (x.T @ g + 1e-6 * w)
-                vb = 0.9 * vb - 2.0 * g.sum(axis=0)
+                vw = np.float32(0.9) * vw - np.float32(20.0) * (x.T @ g + np.float32(1e-4) * w)
+                vb = np.float32(0.9) * vb - np.float32(20.0) * g.sum(axis=0)
                 w, b = w + vw, b + vb
-        return Classifier(sources, w, b)
+        return Classifier(sources, w, b, prior)
 
     def posterior(self, x: np.ndarray) -> np.ndarray:
-        return _softmax(x @ self.weights + self.bias)
+        """Membership in each source, the sources' own frequency taken into account."""
+        return _softmax((x @ self.weights + self.bias).astype(float) + np.log(self.prior))
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -88,7 +92,7 @@ def fit_classifier(df: DataFrame, key: str, text: str, source: str, fit_document
     ids = labelled.select(key, source).withColumn("n", F.row_number().over(first)).where(F.col("n") <= fit_documents).select(key).distinct()
     chosen = ids.limit(MAX_SOURCES * fit_documents).collect()  # bounded by the parameters
     if not chosen:
-        return Classifier([], np.zeros((FEATURES, 0)), np.zeros(0))
+        return Classifier([], np.zeros((FEATURES, 0)), np.zeros(0), np.zeros(0))
     picked = labelled.join(F.broadcast(spark.createDataFrame(chosen, ids.schema)), key).select(source, text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +103,9 @@ def fit_classifier(df: DataFrame, key: str, text: str, source: str, fit_document
     rows.sort(key=lambda r: (r["source"], r["x"]))
     sources = sorted({r["source"] for r in rows})
     y = np.array([sources.index(r["source"]) for r in rows])
-    return Classifier.fit(np.stack([np.frombuffer(r["x"], np.float32) for r in rows]), y, sources)
+    numbers = {r[0]: r[1] for r in labelled.groupBy(source).count().where(F.col(source).isin(sources)).collect()}
+    prior = np.array([numbers[s] for s in sources], float)
+    return Classifier.fit(np.stack([np.frombuffer(r["x"], np.float32) for r in rows]), y, sources, prior / prior.sum())
 
 
 def mix(df: DataFrame, targets: DataFrame, key: str, text: str, source: str, tokens: int | None = None, ranks: str | None = None, fit_documents: int = FIT_DOCUMENTS) -> Mix:
@@ -110,8 +116,9 @@ def mix(df: DataFrame, targets: DataFrame, key: str, text: str, source: str, tok
     a document without one, 0 for a source that is no target), for which expected tokens by source are nearest to the targets, by
     projected gradient: a round is one distributed sum of expected tokens by source, and the rates follow from the errors of all rounds
     so far. Documents of equal posterior share a rate and are summed up once. The target total is ``tokens`` or, by default, the most
-    that the caps allow for the sources that have documents. A rate is turned into copies by rounding up with the chance of its
-    fraction, decided by a hash of the id.
+    that the caps allow for the sources that have documents. Rates become copies by carrying the tokens lost or won by rounding one
+    document on to the next smaller one of its source, so that a source's drawn tokens are its expected ones but for a small document;
+    a source is rounded in shards of about SHARD_DOCUMENTS documents.
 
     Token counts are of whole texts by a public tokenizer; null and empty texts have 0 tokens, a rate and copies like others. A target
     without documents stays at 0 and is reported. Null or repeated target sources raise ValueError, as do more than MAX_SOURCES. Repeated
@@ -148,22 +155,18 @@ def mix(df: DataFrame, targets: DataFrame, key: str, text: str, source: str, tok
     reachable = (weight > 0) & (most > 0)
     budget = float(tokens) if tokens is not None else float((most[reachable] / weight[reachable]).min()) if reachable.any() else 0.0
 
-    errors: list[list[float]] = []
-    rounds = 0
+    errors: list[np.ndarray] = []
     scale = np.where(have > 0, have, 1.0)
-    while budget > 0 and rounds < ROUNDS:
-        got = np.array([*units.agg(*by_source(_rate(errors))).first()], float)
+    last = None
+    while budget > 0 and len(errors) < ROUNDS:
+        got = _expected(units, errors, len(sources))
         error = np.where(reachable | (weight == 0), got - weight * budget, 0.0)
-        settled = np.abs(error).max() <= SETTLED * budget or (errors and np.allclose(errors[-1], STEP * error / scale, rtol=0, atol=1e-7))
-        if settled:
+        if last is not None and np.abs(error - last).max() <= SETTLED * budget:
             break
-        errors.append((STEP * error / scale).tolist())
-        rounds += 1
+        last = error
+        errors.append(STEP * error / scale)
 
-    unit = (F.xxhash64("id", F.lit(20)).bitwiseAND((1 << 40) - 1)) / F.lit(float(1 << 40))
-    rated = counted.select("id", "source", "n_tokens", member.alias("p"), cap.alias("cap")).withColumn("rate", _rate(errors) if budget > 0 else F.lit(0.0))
-    copies = (F.floor("rate") + (unit < F.col("rate") - F.floor("rate")).cast("bigint")).alias("copies")
-    documents = materialize(rated.select("id", "source", "n_tokens", F.round("rate", 9).alias("rate"), copies), "p9-documents")
+    documents = materialize(_copies(counted.select("id", "source", "n_tokens", member.alias("p"), cap.alias("cap")), errors if budget > 0 else None), "p9-documents")
     drawn = documents.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("tokens"), F.sum(F.col("n_tokens") * F.col("copies")).alias("drawn"), F.max("copies").alias("most_copies"))
     listed = spark.createDataFrame([(r["source"], float(r["target_weight"] or 0), int(r["max_repeats"] or 0)) for r in goal], "source STRING, target_weight DOUBLE, max_repeats INT")
     joined = drawn.join(F.broadcast(listed), "source", "full")
@@ -171,18 +174,64 @@ def mix(df: DataFrame, targets: DataFrame, key: str, text: str, source: str, tok
     share: Column = F.round(F.coalesce("drawn", F.lit(0)) / F.lit(float(total or 1)), 6)
     shares = joined.select("source", "target_weight", "max_repeats", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("documents", "tokens", "drawn", "most_copies")],
         share.alias("share"), F.round(F.coalesce("drawn", F.lit(0)) / F.lit(budget or 1.0), 6).alias("share_of_target_total"))
-    return Mix(documents, shares, rounds)
+    return Mix(documents, shares, len(errors))
 
 
-def _rate(errors: list[list[float]]) -> Column:
-    """A document's rate after the rounds whose scaled errors are given: from its cap or 1, each round steps against the errors of its sources
+def _rates(p: np.ndarray, cap: np.ndarray, errors: list[np.ndarray]) -> np.ndarray:
+    """Rates after the rounds whose scaled errors are given: from 1 or the cap, each round steps against the errors of a document's sources
     and is put back between 0 and its cap."""
-    start = F.least(F.col("cap"), F.lit(1.0))
-    if not errors:
-        return start
-    history = F.array(*[F.array(*[F.lit(float(e)) for e in row]) for row in errors])
-    down = lambda row: F.aggregate(F.zip_with(row, "p", lambda e, p: e * p), F.lit(0.0), lambda a, x: a + x)
-    return F.aggregate(history, start, lambda r, row: F.greatest(F.lit(0.0), F.least(F.col("cap"), r - down(row))))
+    rate = np.minimum(cap, 1.0)
+    for error in errors:
+        rate = np.clip(rate - p @ error, 0.0, cap)
+    return rate
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+
+
+def _expected(units: DataFrame, errors: list[np.ndarray], width: int) -> np.ndarray:
+    """Expected tokens by source: each task sends one row of sums."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width)
+        for batch in batches:
+            p = _matrix(batch.column(0), width)
+            total += (_rates(p, batch.column(1).to_numpy(), errors) * batch.column(2).to_numpy()) @ p
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["s"])
+
+    each = units.select("p", "cap", "t").mapInArrow(work, "s array<double>")
+    return np.array([*each.agg(*[F.coalesce(F.sum(F.col("s")[i]), F.lit(0.0)) for i in range(width)]).first()], float)
+
+
+def _copies(placed: DataFrame, errors: list[np.ndarray] | None) -> DataFrame:
+    """(id, source, n_tokens, rate, copies) of documents (id, source, n_tokens, p, cap)."""
+    numbers = placed.groupBy("source").count().select(F.col("source").alias("s"), F.ceil(F.col("count") / SHARD_DOCUMENTS).cast("int").alias("shards"))
+    sharded = placed.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("s")))  # a row for each source
+    ready = (
+        sharded.withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")))
+        .repartition("source", "shard")
+        .sortWithinPartitions("source", "shard", F.desc("n_tokens"), F.xxhash64("id"), "id")
+    )
+    schema = placed.select("id", "source", "n_tokens").schema.add("rate", "double").add("copies", "long")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, carried = None, 0.0
+        for batch in batches:
+            cap, n = batch.column(4).to_numpy(), batch.column(2).to_numpy()
+            rate = np.zeros(len(cap))
+            if errors is not None and len(cap):
+                rate = _rates(_matrix(batch.column(3), len(batch.column(3)[0])), cap, errors)
+            copies = np.zeros(len(cap), np.int64)
+            for i, (source, shard) in enumerate(zip(batch.column(1).to_pylist(), batch.column(5).to_pylist())):
+                if at != (source, shard):
+                    at, carried = (source, shard), 0.0
+                want = rate[i] * n[i] + carried
+                copies[i] = min(cap[i], max(0, round(want / n[i]))) if n[i] else round(rate[i])
+                carried = want - copies[i] * n[i]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.round(rate, 9)), pa.array(copies)], ["id", "source", "n_tokens", "rate", "copies"])
+
+    return ready.select("id", "source", "n_tokens", "p", "cap", "shard").mapInArrow(work, schema)
 
 
 def _measure(docs: DataFrame, classifier: Classifier, ranks: bytes) -> DataFrame:
