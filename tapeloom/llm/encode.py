@@ -23,7 +23,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 
 #: Characters of text worked on at once, bytes of new words in one query, rounds of one query, words of one text taken at once, and words
 #: remembered by a worker; they bound memory and change no result.
-SLICE_CHARS, QUERY_BYTES, QUERY_ROUNDS, LIST_WORDS, REMEMBERED = 1 << 20, 1 << 17, 16, 1 << 18, 1 << 19
+SLICE_CHARS, QUERY_BYTES, QUERY_ROUNDS, LIST_WORDS, REMEMBERED = 1 << 20, 1 << 17, 32, 1 << 18, 1 << 19
 
 
 def vocabulary_text(vocabulary: str | None = None) -> bytes:
@@ -69,25 +69,23 @@ class Merges:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.unregister("given")
 
+    # A run of hits side by side is one pair of equal tokens again and again: every other one of them is taken, counted from the run's
+    # first. stop is the place of the last token before this one that begins no hit, so the place in the run is no - stop.
     ROUNDS_SQL = f"""
         WITH RECURSIVE state(w, i, t, k) AS (
           SELECT w, i, t, 0 FROM start
           UNION ALL
-          SELECT w, i, CASE WHEN takes THEN joined ELSE t END, k + 1 FROM (
-            SELECT *, coalesce(lag(takes) OVER (PARTITION BY w ORDER BY i), false) AS gone FROM (
-              SELECT *, hit AND (row_number() OVER (PARTITION BY w, hit, island ORDER BY i)) % 2 = 1 AS takes FROM (
-                SELECT *, no - row_number() OVER (PARTITION BY w, hit ORDER BY i) AS island FROM (
-                  SELECT *, coalesce(rank = best, false) AS hit FROM (
-                    SELECT p.w, p.i, p.t, p.k, p.no, m.rank, m.joined, min(m.rank) OVER (PARTITION BY p.w) AS best FROM (
-                      SELECT *, lead(t) OVER (PARTITION BY w ORDER BY i) AS after, row_number() OVER (PARTITION BY w ORDER BY i) AS no
-                      FROM state WHERE k < {QUERY_ROUNDS}
-                    ) p LEFT JOIN merges m ON m.l = p.t AND m.r = p.after
-                  ) WHERE best IS NOT NULL
-                )
-              )
+          SELECT w, i, CASE WHEN hit AND (no - stop) % 2 = 1 THEN joined ELSE t END, k + 1 FROM (
+            SELECT *, coalesce(max(CASE WHEN NOT hit THEN no END) OVER (PARTITION BY w ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stop FROM (
+              SELECT w, i, t, k, no, joined, coalesce(rank = best, false) AS hit FROM (
+                SELECT p.*, m.rank, m.joined, min(m.rank) OVER (PARTITION BY p.w) AS best FROM (
+                  SELECT *, lead(t) OVER (PARTITION BY w ORDER BY i) AS after, row_number() OVER (PARTITION BY w ORDER BY i) AS no
+                  FROM state WHERE k < {QUERY_ROUNDS}
+                ) p LEFT JOIN merges m ON m.l = p.t AND m.r = p.after
+              ) WHERE best IS NOT NULL
             )
-          ) WHERE NOT gone)
-        SELECT w, i, t, k FROM state QUALIFY k = max(k) OVER (PARTITION BY w)"""
+          ) WHERE (no - 1 - stop) % 2 = 0)
+        SELECT w, i, t, k FROM state"""
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word.
@@ -134,10 +132,11 @@ class Merges:
             self.db.register("given", pa.table({"w": w.astype(np.int32), "i": i.astype(np.int32), "t": t.astype(np.int32)}))
             self.db.execute("CREATE OR REPLACE TEMP TABLE start AS SELECT * FROM given")
             self.db.unregister("given")
-            self.db.execute(f"CREATE OR REPLACE TEMP TABLE ended AS {self.ROUNDS_SQL}")
-            for no, ids in self.db.execute("SELECT w, list(t ORDER BY i) FROM ended GROUP BY w HAVING max(k) < ?", [QUERY_ROUNDS]).fetchall():
+            self.db.execute(f"CREATE OR REPLACE TEMP TABLE rounds AS {self.ROUNDS_SQL}")
+            last = "rounds JOIN (SELECT w, max(k) AS k FROM rounds GROUP BY w) USING (w, k)"
+            for no, ids in self.db.execute(f"SELECT w, list(t ORDER BY i) FROM {last} WHERE k < {QUERY_ROUNDS} GROUP BY w").fetchall():
                 done[no] = ids
-            left = self.db.execute("SELECT w, i, t FROM ended WHERE k = ? ORDER BY w, i", [QUERY_ROUNDS]).fetchnumpy()
+            left = self.db.execute(f"SELECT w, i, t FROM rounds WHERE k = {QUERY_ROUNDS} ORDER BY w, i").fetchnumpy()
             w, i, t = left["w"], left["i"], left["t"]
         return done  # type: ignore[return-value]
 
@@ -148,49 +147,63 @@ def _merges(text: bytes) -> Merges:
 
 
 class Encoder:
-    """Encodes texts, remembering the ids of words."""
+    """Encodes texts, remembering the ids of words: all ids lie in one array, and a word knows where its own are."""
 
     def __init__(self, text: bytes):
         import regex
 
         self.find = regex.compile(WORD_PATTERN)
         self.merges = _merges(text)
-        self.known: dict[str, list[int]] = {}
+        self._forget()
 
-    def words(self, text: str) -> Iterator[list[str]]:
-        """The words of a text, at most LIST_WORDS at once."""
-        found = self.find.finditer(text)
-        while some := [m.group() for m in itertools.islice(found, LIST_WORDS)]:
-            yield some
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.begins, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def learn(self, words: Iterable[str]) -> None:
         """Look up the ids of all words that are not remembered."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in set(words) if w not in self.known]
+        new = sorted(set(words) - self.known.keys())
         if new:
-            new.sort()
-            self.known |= zip(new, self.merges.encode([w.encode("utf-8") for w in new]))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text. The texts should be a slice of bounded size; one that is longer is taken piece by piece."""
-        short = [self.find.findall(t) if len(t) <= LIST_WORDS else None for t in texts]
-        self.learn(itertools.chain.from_iterable(w for w in short if w))
-        out: list[np.ndarray] = []
-        for text, words in zip(texts, short):
-            if words is not None:
-                out.append(self._ids(words))
+            got = self.merges.encode([w.encode("utf-8") for w in new])
+            sizes = np.fromiter(map(len, got), np.int64, len(got))
+            self.known |= zip(new, range(len(self.known), len(self.known) + len(new)))
+            self.begins = np.r_[self.begins, len(self.ids) + np.cumsum(sizes) - sizes]
+            self.sizes = np.r_[self.sizes, sizes]
+            self.ids = np.r_[self.ids, np.fromiter(itertools.chain.from_iterable(got), np.int32, int(sizes.sum()))]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the number of ids of each. The texts should be a slice of bounded size; of one
+        that is longer, LIST_WORDS words are taken at once."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        parts: list[np.ndarray] = []
+        lengths = np.zeros(len(texts), np.int64)
+        short = [i for i, t in enumerate(texts) if len(t) <= LIST_WORDS]
+        found = {i: self.find.findall(texts[i]) for i in short}
+        for at, run in itertools.groupby(range(len(texts)), key=lambda i: i in found):
+            numbers = list(run)
+            if at:
+                flat, sizes = self._ids([w for i in numbers for w in found[i]])
+                ends = np.cumsum([len(found[i]) for i in numbers])
+                total = np.r_[0, np.cumsum(sizes)]
+                lengths[numbers] = np.diff(np.r_[0, total[ends]])
+                parts.append(flat)
                 continue
-            pieces = []
-            for some in self.words(text):
-                self.learn(some)
-                pieces.append(self._ids(some))
-            out.append(np.concatenate(pieces))
-            self.learn(itertools.chain.from_iterable(w for w in short if w))  # in case memory was cleared
-        return out
-
-    def _ids(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(itertools.chain.from_iterable(map(self.known.__getitem__, words)), np.int32)
+            for i in numbers:
+                words = self.find.finditer(texts[i])
+                while some := [m.group() for m in itertools.islice(words, LIST_WORDS)]:
+                    flat, sizes = self._ids(some)
+                    lengths[i] += len(flat)
+                    parts.append(flat)
+        return (parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, np.int32), *parts])), lengths
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, end to end, and the number of ids of each word."""
+        self.learn(words)
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(self.begins[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
 
 
 def _slices(texts: list[str | None]) -> Iterator[list[str]]:
@@ -228,10 +241,8 @@ def encode(df: DataFrame, text: str, ids: str = "ids", vocabulary: str | None =
         for batch in batches:
             at, last = 0, len(rest)
             for some in _slices(batch.column(last).to_pylist()):
-                got = encoder.encode(some)
-                flat = np.concatenate(got) if got else np.zeros(0, np.int32)
-                offsets = np.r_[0, np.cumsum([len(x) for x in got])].astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+                flat, lengths = encoder.encode(some)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pa.array(flat))
                 part = batch.slice(at, len(some))
                 yield pa.RecordBatch.from_arrays([*part.columns[:last], lists], [*rest, ids])
                 at += len(some)
