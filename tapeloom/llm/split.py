@@ -97,9 +97,10 @@ class Splitter:
 
         def close() -> None:
             nonlocal begin, shared, held, fresh
-            out.append(Piece(begin, end, self._exact(text, begin, end, held), shared))
+            out.append(Piece(begin, end, self._alone(text, starts, tokens, begin, end, held), shared))
             begin = self._back(text, starts, tokens, begin, end, overlap) if overlap else end
-            shared, held, fresh = count(text[begin:end]), self._inside(text, starts, tokens, begin, end), end
+            held, fresh = self._inside(text, starts, tokens, begin, end), end
+            shared = self._alone(text, starts, tokens, begin, end, held)
 
         for lo, hi in atoms:
             n = int(tokens[hi] - tokens[lo])
@@ -123,12 +124,19 @@ class Splitter:
                 if a < b:
                     close()
         if end > fresh or not out:
-            out.append(Piece(begin, end, self._exact(text, begin, end, held), shared))
+            out.append(Piece(begin, end, self._alone(text, starts, tokens, begin, end, held), shared))
         return out
 
-    def _exact(self, text: str, begin: int, end: int, held: int) -> int:
-        """Tokens of a piece by itself: its blanks at the end may be one word there and two in the whole text."""
-        return self.counter.text(text[begin:end]) if text[end - 1 : end].isspace() else held
+    def _alone(self, text: str, starts: np.ndarray, tokens: np.ndarray, begin: int, end: int, held: int) -> int:
+        """Tokens of begin..end as a text of its own, ``held`` being those it has inside the whole text: only blanks at the end may be cut
+        into other words there."""
+        if not text[end - 1 : end].isspace() or begin == end:
+            return held
+        blanks = begin + len(text[begin:end].rstrip())
+        a, b = int(np.searchsorted(starts, blanks)), int(np.searchsorted(starts, end))
+        if starts[a] != blanks or starts[b] != end:
+            return self.counter.text(text[begin:end])
+        return held - int(tokens[b] - tokens[a]) + self.counter.text(text[blanks:end])
 
     def _inside(self, text: str, starts: np.ndarray, tokens: np.ndarray, begin: int, end: int) -> int:
         """Tokens from begin to end where more text follows; blanks before it may be cut into words otherwise than at a text's end."""
