@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.plans import prepared
+from tapeloom.plans import prepared, reference
 
-_MODULES = (prepared,)
-FLAGSHIP = "p7_totals"
+_MODULES = (prepared, reference)
+FLAGSHIP = "daily_features_technical"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
