@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions.windows import average_rank, ratio
 
 
+def correlation(x: str, y: str) -> Column:
+    """Sample correlation; null where one side doesn't vary, which the built-in answers with an error."""
+    return ratio(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def pair_stats(bars: DataFrame, days: int = 756, least: int = 120) -> DataFrame:
     """Statistics of the closes of each two codes (code_x < code_y) on their common dates of the last ``days`` calendar days.
 
@@ -20,7 +25,7 @@ def pair_stats(bars: DataFrame, days: int = 756, least: int = 120) -> DataFrame:
     recent = bars.where(F.col("date") >= F.lit(last)).select("date", "code", "close")
     x, y = recent.select("date", F.col("code").alias("code_x"), F.col("close").alias("x")), recent.select("date", F.col("code").alias("code_y"), F.col("close").alias("y"))
     return x.join(y, (x["date"] == y["date"]) & (F.col("code_x") < F.col("code_y"))).groupBy("code_x", "code_y").agg(
-        F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("correlation"), ratio(F.covar_samp("x", "y"), F.var_samp("y")).alias("beta"),
+        F.count(F.lit(1)).alias("n"), correlation("x", "y").alias("correlation"), ratio(F.covar_samp("x", "y"), F.var_samp("y")).alias("beta"),
         F.avg(F.ln("x") - F.ln("y")).alias("spread_mean"), F.stddev_samp(F.ln("x") - F.ln("y")).alias("spread_std"), F.max(x["date"]).alias("last_date"),
     ).where(F.col("n") >= least)
 
@@ -33,9 +38,9 @@ def liquid_codes(bars: DataFrame, n: int, least_days: int = 5) -> DataFrame:
 
 def information_coefficients(df: DataFrame, score: str, outcome: str, least: int = 5) -> DataFrame:
     """(date, n, ic, rank_ic): correlation of score and outcome, and of their average ranks, on each date of ``least`` pairs or more."""
-    both = df.where(F.col(score).isNotNull() & F.col(outcome).isNotNull()).select("date", F.col(score).alias("s"), F.col(outcome).alias("o"))
+    both = df.where(F.col(score).isNotNull() & F.col(outcome).isNotNull()).select("date", F.col(score).cast("double").alias("s"), F.col(outcome).cast("double").alias("o"))
     ranked = both.withColumn("rs", average_rank(F.col("s"), "date")).withColumn("ro", average_rank(F.col("o"), "date"))
-    return ranked.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.corr("s", "o").alias("ic"), F.corr("rs", "ro").alias("rank_ic")).where(F.col("n") >= least)
+    return ranked.groupBy("date").agg(F.count(F.lit(1)).alias("n"), correlation("s", "o").alias("ic"), correlation("rs", "ro").alias("rank_ic")).where(F.col("n") >= least)
 
 
 def auc_by(df: DataFrame, group: str, score: str, label: str) -> DataFrame:

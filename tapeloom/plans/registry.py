@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.plans import prepared, reference
+from tapeloom.plans import prepared, reference, reference_learning
 
-_MODULES = (prepared, reference)
+_MODULES = (prepared, reference, reference_learning)
 FLAGSHIP = "daily_features_technical"
 
 
