@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeloom.functions.names import renamed
 from tapeloom.session import materialize
 
 #: Records at a file's end and the next one's start that are held against each other.
@@ -362,7 +363,8 @@ def unify(footers: DataFrame, rows: DataFrame, scripts: DataFrame, max_columns:
     """All records in one table: gcs_uri, row_no and a column for each quantity, in alphabetical order.
 
     The scripts, compiled to a map from each file's own names to quantities, are applied to a file's records as one projection. Quantities
-    that were always numbers in the footers become DOUBLE (thousands separators removed, blanks and dashes null), all others are STRING.
+    that were always numbers in the footers become DOUBLE (thousands separators removed, blanks and dashes null), all others are STRING. A
+    quantity called gcs_uri or row_no gets the suffix ``_in``.
     More than ``max_columns`` quantities raise ValueError, as the schema has to be known to the driver. Records that two files share
     appear for both.
     """
@@ -381,8 +383,9 @@ def unify(footers: DataFrame, rows: DataFrame, scripts: DataFrame, max_columns:
         value = F.try_element_at(F.filter("entries", lambda e: (e["root"] == root) & e["value"].isNotNull()), F.lit(1))["value"]
         text = F.trim(value)
         if not number:
-            return F.nullif(text, F.lit("")).alias(root)
+            return F.nullif(text, F.lit(""))
         truth = F.when(F.lower(text) == "true", 1.0).when(F.lower(text) == "false", 0.0)
-        return F.coalesce(truth, F.replace(text, F.lit(","), F.lit("")).try_cast("double")).alias(root)
+        return F.coalesce(truth, F.replace(text, F.lit(","), F.lit("")).try_cast("double"))
 
-    return out.select("gcs_uri", "row_no", *[pick(r["root"], r["number"]) for r in schema if r["root"] not in ("gcs_uri", "row_no")])
+    names = renamed([r["root"] for r in schema], ["gcs_uri", "row_no"])
+    return out.select("gcs_uri", "row_no", *[pick(r["root"], r["number"]).alias(names.get(r["root"], r["root"])) for r in schema])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeloom.functions.names import col, prefix, renamed
+
 #: Width in days of the time blocks over which changes are counted first.
 BLOCK_DAYS = 512
 
@@ -21,17 +23,17 @@ def known_at(events: DataFrame, attributes: DataFrame, entity: str, event_date:
 
     Nulls: attribute rows without entity or ``known_date`` are ignored; events without entity or date, and events before their entity's
     first version, are not in the result. Ties in ``latest`` take the row with the greater values in the other columns. Repeated events
-    come out as often as they came in. Empty inputs give no rows. Columns of ``attributes`` other than the entity must not be named as
-    columns of ``events`` (ValueError).
+    come out as often as they came in. Empty inputs give no rows. Columns of ``attributes`` that are called as columns of ``events``
+    come out with the suffix ``_known``.
     """
     wide = [c for c in attributes.columns if c != entity]
-    if clash := set(wide) & set(events.columns):
-        raise ValueError(f"columns in both inputs: {sorted(clash)}")
-    key, at, since = F.col(f"`{entity}`"), F.col(f"`{event_date}`"), F.col(f"`{known_date}`")
+    names = renamed(wide, events.columns, "_known")
+    e, t, x = (f"{prefix('__known', events.columns, attributes.columns)}_{n}" for n in ("entity", "date", "row"))
+    key, at, since = col(entity), col(event_date), col(known_date)
     versions = (
         attributes.where(key.isNotNull() & since.isNotNull())
         .groupBy(key.alias("__e"), since.alias("__t"))
-        .agg(F.max(F.struct(latest.alias("__latest"), *[F.col(f"`{c}`") for c in wide])).alias("__row"))
+        .agg(F.max(F.struct(latest.alias("__latest"), *[col(c) for c in wide])).alias("__row"))
     )
     narrow = versions.select("__e", "__t", F.lit(1).alias("__change")).unionByName(
         events.where(key.isNotNull() & at.isNotNull()).select(key.alias("__e"), at.alias("__t"), F.lit(0).alias("__change")).distinct()
@@ -40,11 +42,9 @@ def known_at(events: DataFrame, attributes: DataFrame, entity: str, event_date:
     numbered = versions.join(numbers.where("__change = 1").select("__e", "__t", "__v"), ["__e", "__t"]).select("__e", "__v", "__row")
     # events of one entity and date share a number; those before the first version have number 0 and drop out of the join
     moments = numbers.where("__change = 0 AND __v > 0").select("__e", "__t", "__v")
-    dated = moments.join(numbered, ["__e", "__v"]).select("__e", "__t", "__row")
-    return (
-        events.join(dated, (key == F.col("__e")) & (at == F.col("__t")))
-        .select(*[events[f"`{c}`"] for c in events.columns], *[F.col("__row").getField(c).alias(c) for c in wide])
-    )
+    dated = moments.join(numbered, ["__e", "__v"]).select(F.col("__e").alias(e), F.col("__t").alias(t), F.col("__row").alias(x))
+    joined = events.join(dated, (key == F.col(e)) & (at == F.col(t)))
+    return joined.select(*[col(c) for c in events.columns], *[F.col(x).getField(c).alias(names.get(c, c)) for c in wide])
 
 
 def _versions_so_far(narrow: DataFrame, block_days: int) -> DataFrame:

@@ -29,7 +29,7 @@ def trailing_totals(daily: DataFrame, entity: str, day: str, measures: list[str]
 
     ``daily`` must have one row per entity and day (aggregate first: that bounds an entity to its calendar, however many rows it had).
     Rows without entity or day are left out. A null measure counts as zero in totals and not at all in counts; days between rows are
-    filled. Empty input gives no rows. Columns other than those named are dropped.
+    filled. Empty input gives no rows. Columns other than those named are dropped, so none can clash.
     """
     dense = every_day(daily.where(F.col(entity).isNotNull() & F.col(day).isNotNull()).select(entity, day, *measures), entity, day)
     number = F.unix_date(F.col(day))
