@@ -219,7 +219,7 @@ def overlap(tail: list[dict], head: list[dict]) -> list[tuple[dict, dict]]:
     best = 0
     for k in range(1, min(len(tail), len(head)) + 1):
         pairs = list(zip(before[-k:], after[:k]))
-        if all(2 * len(x & y) > min(len(x), len(y)) for x, y in pairs):
+        if all(x & y and 2 * len(x & y) >= min(len(x), len(y)) for x, y in pairs):
             best = k
     return list(zip(tail[-best:], head[:best])) if best else []
 
