@@ -11,9 +11,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapeloom.functions.names import col, keep_clear, prefix
+
 #: Where the vocabulary files of public tokenizers are, unless the environment or a parameter says otherwise. Only the driver reads them.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
@@ -226,15 +227,14 @@ def encode(df: DataFrame, text: str, ids: str = "ids", vocabulary: str | None =
     recursive DuckDB queries over the merge table, so a query sees each distinct word once. Whole texts are encoded, whatever their
     length, in slices of bounded memory; strings that look like special tokens are plain text.
 
-    Null and empty texts give an empty list. Repeated rows stay repeated, empty input gives no rows. An existing column ``ids`` raises
-    ValueError; other columns are carried along.
+    Null and empty texts give an empty list. Repeated rows stay repeated, empty input gives no rows. Other columns are carried along; one
+    that is called as ``ids`` comes out with the suffix ``_in``.
     """
-    if ids in df.columns and ids != text:
-        raise ValueError(f"column {ids} exists already")
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary_text(vocabulary))  # one file of a few MB
-    rest = [c for c in df.columns if c != text]
-    schema = df.select(*[F.col(f"`{c}`") for c in rest]).schema.add(ids, T.ArrayType(T.IntegerType()))
+    given = df.select(*[col(c) for c in df.columns if c != text], col(text).cast("string").alias(prefix("__text", df.columns)))
+    rest = keep_clear(given.drop(given.columns[-1]), [ids]).columns
+    schema = keep_clear(given.drop(given.columns[-1]), [ids]).schema.add(ids, T.ArrayType(T.IntegerType()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
@@ -247,4 +247,4 @@ def encode(df: DataFrame, text: str, ids: str = "ids", vocabulary: str | None =
                 yield pa.RecordBatch.from_arrays([*part.columns[:last], lists], [*rest, ids])
                 at += len(some)
 
-    return df.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").cast("string")).mapInArrow(work, schema)
+    return given.mapInArrow(work, schema)

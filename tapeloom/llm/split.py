@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.functions.names import col, keep_clear, prefix
 from tapeloom.llm.tokens import Counter, rank_text
 
 #: Separators from the coarsest to the finest: a text may be cut where a match ends. Words come from the tokenizer's own pattern.
@@ -198,15 +199,16 @@ def split_texts(df: DataFrame, text: str, limit: str, overlap: str, ranks: str |
     characters), n_tokens, shared (tokens in common with the piece before) and piece_text.
 
     A row with a null ``limit`` has no limit, and null overlap means none. A text within its limit is one piece; so are empty texts, with
-    0 tokens, and null texts, whose piece is null. Repeated rows are split each; empty input gives no rows. Columns of ``df`` named as
-    the new ones raise ValueError.
+    0 tokens, and null texts, whose piece is null. A limit under 1 counts as 1. Repeated rows are split each; empty input gives no rows.
+    Columns of ``df`` called as the new ones come out with the suffix ``_in``.
     """
     added = ["piece", "pieces", "start", "end", "n_tokens", "shared", "piece_text"]
-    rest = [c for c in df.columns if c not in (text, limit, overlap)]
-    if clash := set(rest) & set(added):
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    own = prefix("__split", df.columns)
+    kept = df.select(*[col(c) for c in df.columns if c not in (text, limit, overlap)])
+    given = df.select(*[col(c) for c in kept.columns], col(text).cast("string").alias(f"{own}_t"), col(limit).cast("long").alias(f"{own}_l"), col(overlap).cast("long").alias(f"{own}_o"))
+    kept = keep_clear(kept, added)
+    rest, schema = kept.columns, kept.schema
     shared_ranks = df.sparkSession.sparkContext.broadcast(rank_text(ranks))  # one file of a few MB
-    schema = df.select(*[F.col(f"`{c}`") for c in rest]).schema
     for name in added[:-1]:
         schema = schema.add(name, "long")
     schema = schema.add("piece_text", "string")
@@ -217,7 +219,7 @@ def split_texts(df: DataFrame, text: str, limit: str, overlap: str, ranks: str |
             for at in range(0, batch.num_rows, 256):
                 yield _pieces(batch.slice(at, 256), splitter, rest, added)
 
-    return df.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").cast("string"), F.col(f"`{limit}`").cast("long"), F.col(f"`{overlap}`").cast("long")).mapInArrow(work, schema)
+    return given.mapInArrow(work, schema)
 
 
 def _pieces(batch: pa.RecordBatch, splitter: Splitter, rest: list[str], added: list[str]) -> pa.RecordBatch:
@@ -230,7 +232,7 @@ def _pieces(batch: pa.RecordBatch, splitter: Splitter, rest: list[str], added: l
         elif limit is None:
             got = [Piece(0, len(text), splitter.counter.text(text), 0)]
         else:
-            got = splitter.split(text, limit, overlap or 0)
+            got = splitter.split(text, max(1, limit), overlap or 0)
         for number, p in enumerate(got, 1):
             row.append(i)
             for column, value in zip(columns, (number, len(got), p.start, p.end, p.tokens, p.overlap, None if text is None else text[p.start : p.end])):

@@ -10,9 +10,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapeloom.functions.names import col, keep_clear, prefix
 from tapeloom.llm.encode import LIST_WORDS, REMEMBERED, TOKENIZERS, WORD_PATTERN
 
 DEFAULT_RANKS = "byte_bpe_50k.tiktoken"
@@ -65,10 +65,12 @@ class Counter:
 
 
 def count_tokens(df: DataFrame, text: str, out: str = "n_tokens", ranks: str | None = None) -> DataFrame:
-    """``df`` without ``text`` and with ``out``, the number of tokens of each text. Null and empty texts have none."""
+    """``df`` without ``text`` and with ``out``, the number of tokens of each text. Null and empty texts have none; another column called
+    as ``out`` gets the suffix ``_in``."""
     shared = df.sparkSession.sparkContext.broadcast(rank_text(ranks))  # one file of a few MB
-    rest = [c for c in df.columns if c != text]
-    schema = df.select(*[F.col(f"`{c}`") for c in rest]).schema.add(out, T.LongType())
+    given = df.select(*[col(c) for c in df.columns if c != text], col(text).cast("string").alias(prefix("__text", df.columns)))
+    kept = keep_clear(given.drop(given.columns[-1]), [out])
+    rest, schema = kept.columns, kept.schema.add(out, T.LongType())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(shared.value)
@@ -76,4 +78,4 @@ def count_tokens(df: DataFrame, text: str, out: str = "n_tokens", ranks: str | N
             n = [counter.text(t.as_py()) for t in batch.column(len(rest))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], [*rest, out])
 
-    return df.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").cast("string")).mapInArrow(work, schema)
+    return given.mapInArrow(work, schema)

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeloom.functions.names import col, prefix, renamed
+
 _ORDERABLE_NOT = ("map", "variant", "void")
 
 
@@ -20,34 +22,34 @@ def top_n(df: DataFrame, group: list[str], order: list[Column], n: int, place: s
 
     Ties: rows equal in ``order`` are ordered by all other columns of ``df``, ascending with nulls first, in the order of their names;
     whole copies of a row are told apart by nothing and each take a place. Nulls: a null group key is a group like any other; nulls in
-    ``order`` stand where the given sort puts them. An empty input gives no rows; ``n`` under 1 gives no rows. A column of ``df`` called
-    as ``place`` raises ValueError, as do columns that cannot be grouped or sorted. Other extra columns are carried along.
+    ``order`` stand where the given sort puts them. An empty input gives no rows; ``n`` under 1 gives no rows. Other columns are carried
+    along; one that is called as ``place`` comes out with the suffix ``_in``. Columns that cannot be sorted break no ties.
     """
-    if place in df.columns:
-        raise ValueError(f"column {place} exists already")
-    if any(c.startswith("__topn_") for c in df.columns):
-        raise ValueError("columns starting with __topn_ are reserved")
     kinds = dict(df.dtypes)
-    ties = [F.col(f"`{c}`").asc_nulls_first() for c in sorted(df.columns) if c not in group and not kinds[c].startswith(_ORDERABLE_NOT)]
-    keys = [F.col(f"`{g}`") for g in group]
+    p = prefix("__topn", df.columns, [place])
+    ties = [col(c).asc_nulls_first() for c in sorted(df.columns) if c not in group and not any(k in kinds[c] for k in _ORDERABLE_NOT)]
+    keys = [col(g) for g in group]
     total_order = [*order, *ties]
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__topn_n")).where(F.col("__topn_n") > hot_rows)
-    heavy_rows = counted.orderBy(F.col("__topn_n").desc(), *keys).limit(max_hot).collect()  # max_hot rows at most
-    if not heavy_rows:
-        return _window(df, keys, total_order, n, place)
-    schema = counted.schema
-    for field in schema.fields:
-        field.nullable = True
-    heavy_keys = df.sparkSession.createDataFrame(heavy_rows, schema).select(*[F.col(f"`{g}`").alias(f"__topn_k{i}") for i, g in enumerate(group)])
-    same = [k.eqNullSafe(F.col(f"__topn_k{i}")) for i, k in enumerate(keys)]
-    heavy = df.join(F.broadcast(heavy_keys), same, "left_semi")
-    light = df.join(F.broadcast(heavy_keys), same, "left_anti")
-    ranges = max(2, math.ceil(sum(r["__topn_n"] for r in heavy_rows) / hot_rows))
-    salted = heavy.repartitionByRange(ranges, *keys, *total_order).withColumn("__topn_salt", F.spark_partition_id())
-    kept = _window(salted, [*keys, F.col("__topn_salt")], total_order, n, "__topn_local").drop("__topn_local", "__topn_salt")
-    return _window(light, keys, total_order, n, place).unionByName(_window(kept, keys, total_order, n, place))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{p}_n")).where(col(f"{p}_n") > hot_rows)
+    heavy_rows = counted.orderBy(col(f"{p}_n").desc(), *keys).limit(max_hot).collect()  # max_hot rows at most
+    if heavy_rows:
+        schema = counted.schema
+        for field in schema.fields:
+            field.nullable = True
+        heavy_keys = df.sparkSession.createDataFrame(heavy_rows, schema).select(*[col(g).alias(f"{p}_k{i}") for i, g in enumerate(group)])
+        same = [k.eqNullSafe(col(f"{p}_k{i}")) for i, k in enumerate(keys)]
+        heavy = df.join(F.broadcast(heavy_keys), same, "left_semi")
+        light = df.join(F.broadcast(heavy_keys), same, "left_anti")
+        ranges = max(2, math.ceil(sum(r[f"{p}_n"] for r in heavy_rows) / hot_rows))
+        salted = heavy.repartitionByRange(ranges, *keys, *total_order).withColumn(f"{p}_salt", F.spark_partition_id())
+        kept = _window(salted, [*keys, col(f"{p}_salt")], total_order, n, f"{p}_local").drop(f"{p}_local", f"{p}_salt")
+        ranked = _window(light, keys, total_order, n, f"{p}_place").unionByName(_window(kept, keys, total_order, n, f"{p}_place"))
+    else:
+        ranked = _window(df, keys, total_order, n, f"{p}_place")
+    names = renamed(df.columns, [place])
+    return ranked.select(*[col(c).alias(names.get(c, c)) for c in df.columns], col(f"{p}_place").alias(place))
 
 
 def _window(df: DataFrame, keys: list[Column], order: list[Column], n: int, place: str) -> DataFrame:
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(place, number.cast("bigint")).where(F.col(f"`{place}`") <= n)
+    return df.withColumn(place, number.cast("bigint")).where(col(place) <= n)

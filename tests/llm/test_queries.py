@@ -1,0 +1,17 @@
+"""Every query of the package against its SQL on the smallest tables; those without SQL must run."""
+
+import pytest
+
+from tapeloom.llm import queries
+
+QUERIES, SQL = queries.queries(), queries.oracle_sql()
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_same_as_sql(name, compare):
+    compare(QUERIES[name], SQL[name])
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+def test_runs(name, spark, data):
+    QUERIES[name](spark, data).collect()
