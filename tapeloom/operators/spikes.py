@@ -17,7 +17,9 @@ BLOCK_DAYS, HALO_DAYS = 512, 48
 AROUND = 5
 TREES, SUBSAMPLE, LEVELS = 24, 64, 8
 #: Isolation score from which a reading is a candidate for a spike.
-CANDIDATE = 0.5
+CANDIDATE = 0.45
+#: Readings other than a date's chosen one that a tree is grown on, as a share of the dates.
+OTHER_SHARE = 0.05
 #: Distinct readings that are worked on at once, whole sources only.
 CHUNK_ROWS = 1 << 17
 
@@ -69,11 +71,12 @@ def flag_readings(rows: DataFrame, source: list[str], day: str, limits: dict[str
         .select(*[f"s{i}" for i in range(len(source))], "d", "r.f", "r.v")
         .where(F.col("v").isNotNull())
         .na.drop(subset=[f"s{i}" for i in range(len(source))])
-        .distinct()
+        .groupBy(*[f"s{i}" for i in range(len(source))], "d", "f", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     blocked = _blocks(readings)
     by = [*[f"s{i}" for i in range(len(source))], "b"]
-    ready = blocked.withColumn("id", F.xxhash64(*by)).repartition(*by).sortWithinPartitions("id", "f", "d", "v").select("id", "f", "d", "v", "halo", *[f"s{i}" for i in range(len(source))])
+    ready = blocked.withColumn("id", F.xxhash64(*by)).repartition(*by).sortWithinPartitions("id", "f", "d", "v").select("id", "f", "d", "v", "n", "halo", *[f"s{i}" for i in range(len(source))])
     kinds = dict(readings.dtypes)
     out = ", ".join(f"s{i} {kinds[f's{i}']}" for i in range(len(source))) + ", d INT, f TINYINT, v DOUBLE, score DOUBLE, flags INT"
     flagged = ready.mapInArrow(partial(_work, limits=list(limits.values()), names=names), out)
@@ -114,8 +117,8 @@ def _work(batches: Iterator[pa.RecordBatch], limits: list[Limits], names: list[s
 
 
 def _judge(t: pa.Table, limits: list[Limits], names: list[str]) -> Iterator[pa.RecordBatch]:
-    ids, f, d, v, halo = (t[c].to_numpy() for c in ("id", "f", "d", "v", "halo"))
-    score, flags = judge(ids, f, d.astype(np.int64), v, limits, names)
+    ids, f, d, v, n, halo = (t[c].to_numpy() for c in ("id", "f", "d", "v", "n", "halo"))
+    score, flags = judge(ids, f, d.astype(np.int64), v, n, limits, names)
     hit = np.flatnonzero((flags > 0) & ~halo.astype(bool))
     if len(hit):
         kept = t.take(pa.array(hit))
@@ -161,8 +164,8 @@ def _segment_median(x: np.ndarray, seg: np.ndarray, count: int) -> np.ndarray:
     return out
 
 
-def judge(ids: np.ndarray, f: np.ndarray, d: np.ndarray, v: np.ndarray, limits: list[Limits], names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Score and flags of readings sorted by source, field, date and value."""
+def judge(ids: np.ndarray, f: np.ndarray, d: np.ndarray, v: np.ndarray, copies: np.ndarray, limits: list[Limits], names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Score and flags of readings sorted by source, field, date and value; ``copies`` is the number of rows that hold each."""
     n = len(v)
     series_at = _starts(ids, f)
     series = _spread(series_at, n)
@@ -172,12 +175,14 @@ def judge(ids: np.ndarray, f: np.ndarray, d: np.ndarray, v: np.ndarray, limits:
     with np.errstate(divide="ignore", invalid="ignore"):
         log = np.where(finite & (v > 0), np.log(np.where(v > 0, v, 1)), np.nan)
 
-    # one value for each date: of several deliveries the one nearest to the dates around
+    # one value for each date: of several the one most often delivered, then the one nearest to the dates around
     dates_at = _starts(ids, f, d)
     date = _spread(dates_at, n)
-    g, size = len(dates_at), np.diff(np.r_[dates_at, n])
+    g = len(dates_at)
     gs = series[dates_at]
-    first = log[dates_at + (size - 1) // 2]
+    often = np.where(np.isnan(log), 0, copies)
+    most = np.flatnonzero(often == np.maximum.reduceat(often, dates_at)[date]) if g else np.zeros(0, int)
+    first = log[most[_starts(date[most])]] if g else log
     for _ in range(2):
         middle = _row_median(_around(first, gs, [*range(-AROUND, 0), *range(1, AROUND + 1)]))
         off = np.abs(log - middle[date])
@@ -211,7 +216,15 @@ def judge(ids: np.ndarray, f: np.ndarray, d: np.ndarray, v: np.ndarray, limits:
     features[~finite] = 60.0
     points = (log != log) & finite & (v == 0) & per(lambda x: x.zero).astype(bool)
     features[points] = 0.0  # zeros that the field allows say nothing about level
-    score = forest(features, series_at, ids[series_at].astype(np.uint64) * np.uint64(31) + kind.astype(np.uint64))
+    # A source's forest is grown on what it usually reads: the value chosen for each date, and few of the other deliveries, however many
+    # they are, so that values which are wrong again and again stay rare in it.
+    usual_row = np.zeros(n, bool)
+    usual_row[chosen] = True
+    dates = np.bincount(gs, minlength=s)
+    others = np.bincount(series, minlength=s) - dates
+    keep = np.minimum(1.0, SUBSAMPLE / dates)[series]
+    keep = np.where(usual_row, keep, np.minimum(keep, (OTHER_SHARE * dates / np.maximum(others, 1))[series]))
+    score = forest(features, series_at, ids[series_at].astype(np.uint64) * np.uint64(31) + kind.astype(np.uint64), keep)
 
     fills = np.zeros(n, bool)
     for i, x in enumerate(limits):
@@ -279,10 +292,11 @@ def _mean_path(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + 0.5772156649) - 2 * (n - 1) / n, np.where(n == 2, 1.0, 0.0))
 
 
-def forest(features: np.ndarray, series_at: np.ndarray, seeds: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, levels: int = LEVELS) -> np.ndarray:
+def forest(features: np.ndarray, series_at: np.ndarray, seeds: np.ndarray, keep: np.ndarray | None = None, trees: int = TREES, subsample: int = SUBSAMPLE, levels: int = LEVELS) -> np.ndarray:
     """Isolation scores: a forest for each series (the rows from one of ``series_at`` to the next), all of them grown together.
 
-    A tree is grown on at most about ``subsample`` rows of its series, and all rows fall through it. Nodes are kept as ranges of a
+    A tree is grown on at most about ``subsample`` rows of its series, or each row with the chance in ``keep``, and all rows fall through
+    it. Nodes are kept as ranges of a
     permutation, so that a level takes a few passes over all rows. Random numbers come from the series' seed, the tree and the node.
     """
     n, s = len(features), len(series_at)
@@ -290,9 +304,9 @@ def forest(features: np.ndarray, series_at: np.ndarray, seeds: np.ndarray, trees
         return np.zeros(0)
     size = np.diff(np.r_[series_at, n])
     series = _spread(series_at, n)
-    share = np.minimum(1.0, subsample / size)[series]
+    share = np.minimum(1.0, subsample / size)[series] if keep is None else keep
     place = (np.arange(n) - series_at[series]).astype(np.uint64)
-    norm = _mean_path(np.minimum(size, subsample))
+    norm = _mean_path(np.maximum(np.add.reduceat(share, series_at), 2))
     total = np.zeros(n)
     columns = np.ascontiguousarray(features.T)
     with np.errstate(over="ignore"):

@@ -52,6 +52,14 @@ def test_later_deliveries_and_copies(spark):
     assert flags(spark, [*rows, *rows, good]) == {("a", 10, "close"): "s"}
 
 
+def test_the_value_most_often_delivered_is_the_usual_one(spark):
+    rows, bad = series(), []
+    for r in rows[5:45]:
+        bad.append([*r[:2], round(r[2] / 10, 3), r[3]])
+    got = flags(spark, [*rows, *rows, *bad])
+    assert got == {("a", k, "close"): "s" for k in range(5, 45)}
+
+
 def test_frozen_runs_need_activity(spark):
     rows = series()
     for r in rows[10:20]:
@@ -105,8 +113,7 @@ def test_chunks_keep_sources_whole():
     d = np.tile(np.arange(n), k)
     v = np.exp(rng.normal(0, 0.01, n * k))
     v[::97] *= 20
-    table = pa.table({"id": ids, "f": np.zeros(n * k, np.int8), "d": d.astype(np.int32), "v": v, "halo": pa.array(np.zeros(n * k, bool)), "s0": [str(i) for i in ids]})
-    table = table.set_column(4, "halo", pa.array(np.zeros(n * k, np.int8)))
+    table = pa.table({"id": ids, "f": np.zeros(n * k, np.int8), "d": d.astype(np.int32), "v": v, "n": np.ones(n * k, int), "halo": np.zeros(n * k, np.int8), "s0": [str(i) for i in ids]})
     limits, names = [Limits()], ["x"]
 
     def run(size):
