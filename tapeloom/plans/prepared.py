@@ -117,8 +117,8 @@ def p7_totals(spark: SparkSession, d: str) -> DataFrame:
     out = [F.col("equity_code"), yyyymmdd(F.col("date")).alias("date")]
     for span in (7, 30):
         out += [
-            F.round(f"amount_sum_{span}d", 6).alias(f"amount_total_{span}d"),
-            F.round(F.col(f"amount_sum_{span}d") / F.col(f"days_{span}d"), 6).alias(f"amount_avg_{span}d"),
+            F.round(f"amount_sum_{span}d", 4).alias(f"amount_total_{span}d"),
+            F.round(F.col(f"amount_sum_{span}d") / F.col(f"days_{span}d"), 4).alias(f"amount_avg_{span}d"),
             F.round(F.try_divide(F.col(f"close_sum_{span}d"), F.col(f"close_n_{span}d").cast("double")), 8).alias(f"close_avg_{span}d"),
         ]
     return totals.select(*out)
@@ -127,8 +127,8 @@ def p7_totals(spark: SparkSession, d: str) -> DataFrame:
 P7_TOTALS_SQL = f"""{_P7_DENSE}
 SELECT code AS equity_code, strftime(date, '%Y%m%d') AS date,
 """ + ",\n".join(
-    f"""  round(sum(coalesce(amount, 0)) OVER w{s}, 6) AS amount_total_{s}d,
-  round(sum(coalesce(amount, 0)) OVER w{s} / least({s}, date_diff('day', lo, date) + 1), 6) AS amount_avg_{s}d,
+    f"""  round(sum(coalesce(amount, 0)) OVER w{s}, 4) AS amount_total_{s}d,
+  round(sum(coalesce(amount, 0)) OVER w{s} / least({s}, date_diff('day', lo, date) + 1), 4) AS amount_avg_{s}d,
   round(avg(close) OVER w{s}, 8) AS close_avg_{s}d"""
     for s in (7, 30)
 ) + """
