@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeloom.functions.windows import log_return, ratio, share_rank  # noqa: F401
+from tapeloom.functions.windows import ratio
 
 
 def forward_returns(bars: DataFrame, horizons: list[int]) -> DataFrame:

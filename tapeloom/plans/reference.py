@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions import clean
 from tapeloom.functions.codes import equity_code, index_code, sql_equity_code, sql_strip
-from tapeloom.functions.windows import log_return, ratio, share_rank
+from tapeloom.functions.windows import log_return, ratio
 from tapeloom.operators import features as ft
-from tapeloom.operators import labels, metrics, stats, temporal, upsert
-from tapeloom.operators.bars import BAR, apply_factors, bars, latest_by_lineage, resample, resample_bars
+from tapeloom.operators import stats, temporal
+from tapeloom.operators.bars import apply_factors, bars, latest_by_lineage, resample, resample_bars
 from tapeloom.session import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -269,30 +269,30 @@ def component_latest(spark: SparkSession, d: str) -> DataFrame:
 # ---- statements as known -----------------------------------------------------------------------------------------------------------
 
 STATEMENT = ["eps_basic", "bps", "roe"]
-_INTERVALS = f"""statements AS (
+INTERVALS_SQL = f"""statements AS (
   SELECT code, ann, period, eps_basic, bps, roe, lead(ann) OVER (PARTITION BY code ORDER BY ann) AS until FROM (
     SELECT {sql_equity_code('equity_code')} AS code, announcement_date AS ann, report_period AS period, eps_basic, bps, roe,
       row_number() OVER (PARTITION BY {sql_equity_code('equity_code')}, announcement_date ORDER BY report_period DESC NULLS LAST, eps_basic DESC NULLS LAST, bps DESC NULLS LAST, roe DESC NULLS LAST) AS rn
     FROM {INDICATOR} WHERE announcement_date IS NOT NULL) WHERE rn = 1 AND code IS NOT NULL)"""
 
 
-def _statements(spark: SparkSession, d: str) -> DataFrame:
+def statements(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, INDICATOR).withColumn("code", equity_code(F.col("equity_code"))).withColumnsRenamed({"announcement_date": "ann", "report_period": "period"})
     return temporal.intervals(rows, "code", "ann", "period", STATEMENT)
 
 
-@query(f"""WITH {sql_bars('none')}, {_INTERVALS}
+@query(f"""WITH {sql_bars('none')}, {INTERVALS_SQL}
 SELECT b.code, b.date, s.ann, s.period, round(b.close / nullif(s.eps_basic, 0), 6) AS pe, round(b.close / nullif(s.bps, 0), 6) AS pb
 FROM bars b JOIN statements s ON b.code = s.code AND b.date >= s.ann AND (s.until IS NULL OR b.date < s.until)""")
 def asof_valuation_inner(spark: SparkSession, d: str) -> DataFrame:
-    joined = temporal.interval_join(bars(table(spark, d, KLINE), "none"), _statements(spark, d), "code", "date", "ann")
+    joined = temporal.interval_join(bars(table(spark, d, KLINE), "none"), statements(spark, d), "code", "date", "ann")
     return joined.select("code", "date", "ann", "period", r(ratio(F.col("close"), F.col("eps_basic"))).alias("pe"), r(ratio(F.col("close"), F.col("bps"))).alias("pb"))
 
 
-@query(f"""WITH {sql_bars('none')}, {_INTERVALS}
+@query(f"""WITH {sql_bars('none')}, {INTERVALS_SQL}
 SELECT b.code, b.date, s.ann, round(s.roe, 6) AS roe FROM bars b LEFT JOIN statements s ON b.code = s.code AND b.date > s.ann AND (s.until IS NULL OR b.date < s.until)""")
 def asof_fundamental_left_strict(spark: SparkSession, d: str) -> DataFrame:
-    joined = temporal.interval_join(bars(table(spark, d, KLINE), "none"), _statements(spark, d), "code", "date", "ann", "left", same_day=False)
+    joined = temporal.interval_join(bars(table(spark, d, KLINE), "none"), statements(spark, d), "code", "date", "ann", "left", same_day=False)
     return joined.select("code", "date", "ann", r("roe").alias("roe"))
 
 

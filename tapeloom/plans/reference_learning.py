@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-from tapeloom.functions.windows import share_rank
+from tapeloom.functions.windows import log_return, ratio, share_rank
 from tapeloom.operators import features as ft
-from tapeloom.operators import labels, metrics, stats, upsert
-from tapeloom.operators.temporal import business_days, month_ends
-from tapeloom.plans.reference import FEATURES_SQL, INDICATOR, KLINE, SIGNAL, W_SQL, frame, qfq, r, rounded, sql_bars
+from tapeloom.operators import labels, metrics, scores, stats, upsert
+from tapeloom.operators.bars import bars
+from tapeloom.operators.temporal import business_days, interval_join, month_ends
+from tapeloom.operators.volatility import garch_scale, hidden_regimes
+from tapeloom.plans.reference import FEATURES_SQL, INDICATOR, INTERVALS_SQL, KLINE, SIGNAL, W_SQL, frame, qfq, r, rounded, sql_bars, statements
 from tapeloom.session import materialize, table
 
 QUERIES: dict = {}
@@ -127,6 +129,52 @@ def crisis_flag(spark: SparkSession, d: str) -> DataFrame:
     return b.select("date", F.coalesce((F.col("above_ma20") <= 0.20) | (F.col("positive_20d") <= 0.20) | (F.col("falling_5d") >= 0.75), F.lit(False)).alias("crisis"))
 
 
+_BASE = "(coalesce(return_5d, 0) + 0.5 * coalesce(return_20d, 0) + (50 - abs(coalesce(rsi_14, 50) - 50)) / 100 + 0.3 * coalesce(close_to_ma20, 0) - 0.01 * coalesce(std_20d, 0))"
+_RISK = f"""{FEATURES_SQL},
+g AS (SELECT *, sum(CASE WHEN rsi_14 > 70 THEN 0 ELSE 1 END) OVER ({W_SQL} ROWS UNBOUNDED PRECEDING) AS grp FROM features),
+k AS (SELECT *, (close - max(high) {frame(20)}) / nullif(max(high) {frame(20)}, 0) AS dd20, (close - max(high) {frame(60)}) / nullif(max(high) {frame(60)}, 0) AS dd60,
+  stddev_samp(close) {frame(5)} / nullif(stddev_samp(close) {frame(60)}, 0) AS volx, sum(CASE WHEN rsi_14 > 70 THEN 1 ELSE 0 END) OVER (PARTITION BY code, grp ORDER BY date ROWS UNBOUNDED PRECEDING) AS streak,
+  (close - ma_60) / nullif(ma_60, 0) AS dist60 FROM g)"""
+
+
+@query(f"""WITH {_RISK}, d AS (SELECT code, date, {_BASE} AS base, 5 * (1 - 1 / (1 + exp(-(
+    -4 * coalesce(greatest(-1, least(0, dd20)), 0) * CAST(dd20 IS NOT NULL AS INT) - 2 * coalesce(greatest(-1, least(0, dd60)), 0) * CAST(dd60 IS NOT NULL AS INT) + 1.5 * greatest(coalesce(volx, 1) - 1, 0)
+    + CAST(coalesce(streak, 0) > 5 AS INT) + 0.5 * CAST(coalesce(return_5d, 0) < -0.05 AS INT) + 0.4 * CAST(coalesce(rsi_14, 50) > 80 AS INT)
+    - CASE WHEN return_20d IS NULL THEN 0 ELSE greatest(-0.5, least(0.5, return_20d)) END - 0.3 * CASE WHEN dist60 IS NULL THEN 0 ELSE greatest(-1, least(1, dist60)) END)))) AS days FROM k)
+SELECT code, date, round(base, 6) AS base, round(days, 6) AS days, round(1 / (1 + exp(1.5 * (days - 1))), 6) AS chance FROM d""")
+def remaining_days_bridge(spark: SparkSession, d: str) -> DataFrame:
+    f = ft.daily_features(qfq(spark, d))
+    return rounded(scores.with_scores(f, ft.sell_risk(f)))
+
+
+@query(f"""WITH {FEATURES_SQL}, {sql_bars('none', 'raw')}, {INTERVALS_SQL},
+v AS (SELECT b.code, b.date, b.close / nullif(s.eps_basic, 0) AS pe, b.close / nullif(s.bps, 0) AS pb, s.roe FROM raw b JOIN statements s ON b.code = s.code AND b.date >= s.ann AND (s.until IS NULL OR b.date < s.until))
+SELECT code, date, round({_BASE} + CASE WHEN pe > 0 AND pe < 30 THEN 0.5 / (greatest(pe, 1) + 1) ELSE 0 END + CASE WHEN pb > 0 AND pb < 5 THEN 0.3 / (greatest(pb, 0.5) + 1) ELSE 0 END
+  + CASE WHEN roe IS NULL THEN 0 ELSE 0.5 * greatest(-30, least(30, roe)) / 100 END, 6) AS score FROM features LEFT JOIN v USING (code, date)""")
+def score_rich(spark: SparkSession, d: str) -> DataFrame:
+    """Technical and fundamental score; statements count from their own day."""
+    joined = interval_join(bars(table(spark, d, KLINE), "none"), statements(spark, d), "code", "date", "ann")
+    value = joined.select("code", "date", ratio(F.col("close"), F.col("eps_basic")).alias("pe"), ratio(F.col("close"), F.col("bps")).alias("pb"), "roe")
+    return ft.daily_features(qfq(spark, d)).join(value, ["code", "date"], "left").select("code", "date", r(scores.rich_score()).alias("score"))
+
+
+@query()
+def garch_vol_scale(spark: SparkSession, d: str) -> DataFrame:
+    """Conditional volatility and the position it allows, for each of the most liquid codes."""
+    daily = materialize(qfq(spark, d), "bars")
+    u = daily.join(F.broadcast(stats.liquid_codes(daily, 40).select("code")), "code", "left_semi")  # 40 rows
+    return rounded(garch_scale(u.select("code", "date", log_return(F.col("close"), Window.partitionBy("code").orderBy("date"), 1).alias("r"))))
+
+
+@query()
+def hidden_regime_states(spark: SparkSession, d: str) -> DataFrame:
+    """States of a hidden Markov model of momentum and volatility of the market series."""
+    w = Window.partitionBy(F.lit(0)).orderBy("date")
+    m = _market(spark, d).withColumn("r", log_return(F.col("close"), w, 1))
+    obs = m.select(F.lit("market").alias("code"), "date", F.avg("r").over(w.rowsBetween(-19, 0)).alias("momentum"), F.stddev_samp("r").over(w.rowsBetween(-19, 0)).alias("vol"))
+    return hidden_regimes(obs, ["momentum", "vol"])
+
+
 # ---- performance, trades -----------------------------------------------------------------------------------------------------------
 
 _SERIES = f"""i AS ({_MARKET}), s AS (SELECT date, close AS nav, close / lag(close) OVER (ORDER BY date) - 1 AS returns, close / first_value(close) OVER (ORDER BY date) - 1 AS cumulative,
@@ -294,13 +342,13 @@ def gbt_train_predict(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    bars = materialize(qfq(spark, d), "bars")
+    daily = materialize(qfq(spark, d), "bars")
     cols = ["return_1d", "return_5d", "volume_ma5_ratio", "std_ratio", "rsi_14", "macd_hist", "close_to_high_20d", "close_to_ma20"]
-    values = labels.forward_returns(bars, [5]).select("code", "date", F.col("forward_5d").alias("v"))
+    values = labels.forward_returns(daily, [5]).select("code", "date", F.col("forward_5d").alias("v"))
     classes = labels.cross_section_class(values, "v").where("label IS NOT NULL").select("code", "date", "label")
     dates = values.select("date").distinct()
     cutoff = dates.withColumn("share", F.percent_rank().over(Window.partitionBy(F.lit(0)).orderBy("date"))).where("share >= 0.8").agg(F.min("date")).first()[0]
-    frame = ft.daily_features(bars).join(classes, ["code", "date"]).select("code", "date", F.col("label").cast("double").alias("label"), *[F.coalesce(c, F.lit(0.0)).alias(c) for c in cols])
+    frame = ft.daily_features(daily).join(classes, ["code", "date"]).select("code", "date", F.col("label").cast("double").alias("label"), *[F.coalesce(c, F.lit(0.0)).alias(c) for c in cols])
     frame = materialize(VectorAssembler(inputCols=cols, outputCol="features").transform(frame).select("date", "label", "features"), "panel")
     train = frame.where(F.col("date") < F.lit(cutoff))
     if train.select("label").distinct().count() < 2:
