@@ -42,7 +42,7 @@ def garch_scale(returns: DataFrame, least: int = 30) -> DataFrame:
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         r = pdf.sort_values("date")["r"].dropna().to_numpy(float)
         if len(r) < least or not np.var(r):
-            return pd.DataFrame({c: [] for c in ("code", "n", "alpha", "beta", "volatility", "scale")})
+            return pdf.iloc[:0].assign(n=0, alpha=0.0, beta=0.0, volatility=0.0, scale=0.0)[["code", "n", "alpha", "beta", "volatility", "scale"]]
         a, b, v = garch_fit(r)
         s = np.sqrt(v)
         low, high = np.quantile(s, [0.2, 0.8])
@@ -111,7 +111,7 @@ def hidden_regimes(observations: DataFrame, columns: list[str], states: int = 3)
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.dropna().sort_values("date")
         if len(pdf) < 10 * states:
-            return pd.DataFrame({"code": [], "date": [], "state": []})
+            return pdf.iloc[:0].assign(state=0)[["code", "date", "state"]]
         path, _, _ = hidden_states(pdf[columns].to_numpy(float), states)
         return pd.DataFrame({"code": pdf["code"], "date": pdf["date"], "state": path})
 

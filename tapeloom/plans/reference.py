@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,7 +14,8 @@ from tapeloom.functions.windows import log_return, ratio
 from tapeloom.operators import features as ft
 from tapeloom.operators import stats, temporal
 from tapeloom.operators.bars import apply_factors, bars, latest_by_lineage, resample, resample_bars
-from tapeloom.session import materialize, table
+from tapeloom.session import materialize, scratch, table
+from tapeloom.streaming import bars as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 KLINE, FACTOR, INDICATOR, SIGNAL, SECURITY = (
@@ -140,6 +142,19 @@ def bar_resample_minute(spark: SparkSession, d: str) -> DataFrame:
     return resample(rows, ["user_id", "bar"], ["ts", "event_id"], "value", "value").withColumn("volume", r("volume"))
 
 
+@query("""
+SELECT user_id, time_bucket(INTERVAL 5 MINUTES, ts) AS start, arg_min(value, row(ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, row(ts, event_id)) AS close,
+  round(sum(value), 6) AS volume, count(*) AS n FROM events WHERE value IS NOT NULL GROUP BY 1, 2
+HAVING start + INTERVAL 5 MINUTES <= (SELECT max(ts) - INTERVAL 10 MINUTES FROM events WHERE value IS NOT NULL)""")
+def stream_ohlcv(spark: SparkSession, d: str) -> DataFrame:
+    """Five-minute bars by Structured Streaming over all files that are there; windows that the watermark has passed are given out."""
+    folder = f"{scratch(spark)}/stream-{uuid.uuid4().hex}"
+    source = stream.read_ticks(spark, f"{d}/events.parque[t]", table(spark, d, "events").schema, files_per_trigger=1_000_000)
+    bars_ = stream.stream_bars(source.where("value IS NOT NULL").withColumn("ts", F.col("ts").cast("timestamp")), "user_id", "ts", "value", "event_id")
+    stream.write_available(bars_, f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.schema(bars_.schema).parquet(f"{folder}/out").withColumn("start", F.col("start").cast("timestamp_ntz")).withColumn("volume", r("volume"))
+
+
 @query(f"""WITH {sql_bars('qfq')}
 SELECT code, CAST(date_trunc('week', date) AS DATE) AS period_start, arg_min(open, date) FILTER (WHERE open IS NOT NULL) AS open, max(high) AS high, min(low) AS low, arg_max(close, date) AS close,
   sum(volume) AS volume, sum(amount) AS amount, count(*) AS days FROM bars GROUP BY 1, 2""")

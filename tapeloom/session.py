@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -46,6 +47,9 @@ def materialize(df: DataFrame, name: str = "part") -> DataFrame:
 @atexit.register
 def _release() -> None:
     for spark, path in reversed(_WRITTEN):
+        if path.startswith("file:/"):
+            shutil.rmtree("/" + path[5:].lstrip("/"), ignore_errors=True)
+            continue
         try:
             jvm = spark.sparkContext._jvm
             target = jvm.org.apache.hadoop.fs.Path(path)

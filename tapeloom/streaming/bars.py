@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def stream_bars(ticks: DataFrame, key: str, at: str, price: str, order: str, width: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
@@ -19,7 +20,7 @@ def stream_bars(ticks: DataFrame, key: str, at: str, price: str, order: str, wid
     ).select(key, F.col("w.start").alias("start"), "open", "high", "low", "close", "volume", "n")
 
 
-def read_ticks(spark: SparkSession, folder: str, schema: str, files_per_trigger: int = 1) -> DataFrame:
+def read_ticks(spark: SparkSession, folder: str, schema: str | StructType, files_per_trigger: int = 1) -> DataFrame:
     """A stream of the Parquet files that arrive in a folder."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
