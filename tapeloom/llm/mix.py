@@ -17,8 +17,8 @@ from tapeloom.session import materialize
 
 #: The classifier is fitted on at most so many documents of each source, those with the least hash of their id.
 FIT_DOCUMENTS = 400
-#: Sources that may be told apart.
-MAX_SOURCES = 256
+#: Sources that are told apart: the most frequent ones. Documents of any other stated source belong to no target.
+MAX_SOURCES = 64
 FEATURES, FIT_ROUNDS = 1024, 120
 #: Rounds of the projected gradient, its step, and the change of the errors, as a share of all tokens, at which it stops.
 ROUNDS, STEP, SETTLED = 40, 0.7, 1e-4
@@ -85,9 +85,13 @@ class Mix:
 
 
 def fit_classifier(df: DataFrame, key: str, text: str, source: str, fit_documents: int = FIT_DOCUMENTS) -> Classifier:
-    """A classifier of ``source`` from ``text``, fitted on at most ``fit_documents`` documents of each source."""
+    """A classifier of ``source`` from ``text``, fitted on at most ``fit_documents`` documents of each of the MAX_SOURCES most frequent ones;
+    documents that share an id count as one in this bound."""
     spark = df.sparkSession
     labelled = df.where(F.col(source).isNotNull() & F.col(text).isNotNull())
+    frequent = labelled.groupBy(source).count().orderBy(F.desc("count"), source).limit(MAX_SOURCES).collect()
+    numbers = {r[0]: r[1] for r in frequent}
+    labelled = labelled.where(F.col(source).isin(list(numbers)))
     first = Window.partitionBy(source).orderBy(F.xxhash64(key), key)
     ids = labelled.select(key, source).withColumn("n", F.row_number().over(first)).where(F.col("n") <= fit_documents).select(key).distinct()
     chosen = ids.limit(MAX_SOURCES * fit_documents).collect()  # bounded by the parameters
@@ -103,7 +107,6 @@ def fit_classifier(df: DataFrame, key: str, text: str, source: str, fit_document
     rows.sort(key=lambda r: (r["source"], r["x"]))
     sources = sorted({r["source"] for r in rows})
     y = np.array([sources.index(r["source"]) for r in rows])
-    numbers = {r[0]: r[1] for r in labelled.groupBy(source).count().where(F.col(source).isin(sources)).collect()}
     prior = np.array([numbers[s] for s in sources], float)
     return Classifier.fit(np.stack([np.frombuffer(r["x"], np.float32) for r in rows]), y, sources, prior / prior.sum())
 
