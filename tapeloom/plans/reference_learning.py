@@ -185,7 +185,7 @@ def _series(spark: SparkSession, d: str) -> DataFrame:
     return metrics.value_series(_market(spark, d).withColumnRenamed("close", "nav"))
 
 
-@query(f"WITH {_SERIES} SELECT date, nav, round(returns, 6) AS returns, round(cumulative, 6) AS cumulative, round(drawdown, 6) AS drawdown FROM s")
+@query(f"WITH {_SERIES} SELECT date, round(nav, 6) AS nav, round(returns, 6) AS returns, round(cumulative, 6) AS cumulative, round(drawdown, 6) AS drawdown FROM s")
 def drawdown_curve(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_series(spark, d))
 
