@@ -64,6 +64,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
         .select(code, "announcement_date", blank_to_null(F.col("report_period")).alias("report_period"))
         .where("report_period IS NOT NULL")
     )
+    days = materialize(days, "p4-days")  # read by several branches of the plan
     known = known_at(days, indicators, "equity_code", "date", "announcement_date", F.col("report_period"))
     return known.select("equity_code", yyyymmdd(F.col("date")).alias("date"), yyyymmdd(F.col("announcement_date")).alias("announcement_date"), "report_period")
 
