@@ -160,10 +160,9 @@ def score_rich(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def garch_vol_scale(spark: SparkSession, d: str) -> DataFrame:
-    """Conditional volatility and the position it allows, for each of the most liquid codes."""
-    daily = materialize(qfq(spark, d), "bars")
-    u = daily.join(F.broadcast(stats.liquid_codes(daily, 40).select("code")), "code", "left_semi")  # 40 rows
-    return rounded(garch_scale(u.select("code", "date", log_return(F.col("close"), Window.partitionBy("code").orderBy("date"), 1).alias("r"))))
+    """Conditional volatility and the position it allows, for every code with returns enough to fit."""
+    returns = qfq(spark, d).select("code", "date", log_return(F.col("close"), Window.partitionBy("code").orderBy("date"), 1).alias("r"))
+    return rounded(garch_scale(returns))
 
 
 @query()

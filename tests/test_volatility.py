@@ -28,3 +28,19 @@ def test_short_and_constant_series(spark):
     df = spark.createDataFrame(rows, "code string, date date, r double")
     assert [(r["code"], r["n"]) for r in garch_scale(df).collect()] == [("ok", 50)]
     assert {r["code"] for r in hidden_regimes(df, ["r"]).collect()} == {"flat", "ok"} and hidden_regimes(df.limit(0), ["r"]).collect() == []
+
+
+def test_query_fits_every_code(spark, tmp_path):
+    import datetime as dt
+
+    from tapeloom.plans.reference_learning import garch_vol_scale
+
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(61):  # the last one has too few returns
+        close = 10 * np.exp(np.cumsum(rng.normal(0, 0.02, 31 if i < 60 else 30)))
+        rows += [(f"{600000 + i}.SH", dt.date(2024, 1, 1) + dt.timedelta(days=k), "qfq", *[float(c)] * 4, 1.0, float(i), "f", "e", str(k)) for k, c in enumerate(close)]
+    schema = "equity_code string, date date, adjust_type string, open double, high double, low double, close double, volume double, amount double, source_file string, source_entry string, source_hash string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/dwd_fact_equity_kline_1d.parquet")
+    got = {r["code"]: r["n"] for r in garch_vol_scale(spark, str(tmp_path)).collect()}
+    assert len(got) == 60 and set(got.values()) == {30}
