@@ -148,7 +148,10 @@ class Splitter:
 
     def _fit(self, text: str, begin: int, a: int, b: int, limit: int) -> int:
         """The greatest c from a to b for which begin..c is within the limit; counts are exact, so a near miss is stepped back from."""
-        lo, hi = a, min(b, begin + 8 * limit + 8)
+        reach = 8 * limit + 8
+        while begin + reach < b and self.counter.text(text[begin : begin + reach]) <= limit:
+            reach *= 2  # tokens of many characters, as of a ruled line
+        lo, hi = a, min(b, begin + reach)
         while lo < hi:
             mid = (lo + hi + 1) // 2
             if self.counter.text(text[begin:mid]) <= limit:
@@ -163,7 +166,11 @@ class Splitter:
         if starts[w] != end:  # the piece ended inside a word
             return self._back_in(text, max(begin + 1, int(starts[w - 1])), end, overlap)
         a = int(np.searchsorted(tokens, tokens[w] - overlap, side="right")) - 1  # the last word from which there are enough
-        a = max(a, int(np.searchsorted(starts, begin, side="right")))
+        first = int(np.searchsorted(starts, begin, side="right"))
+        need = overlap - int(tokens[w] - tokens[first])
+        if a < first and need > 0 and tokens[first] - tokens[first - 1] > 8:  # the long word that the piece itself begins in
+            return self._back_in(text, begin + 1, int(starts[first]), need)
+        a = max(a, first)
         at = int(starts[min(a, w)])
         over = int(tokens[w] - tokens[a]) - overlap
         if over > 0 and tokens[a + 1] - tokens[a] > 8:  # a long word: begin inside it
@@ -179,7 +186,10 @@ class Splitter:
         """The greatest position in a word from which it still has ``need`` tokens; 0 if it has fewer."""
         if need <= 0:
             return len(word)
-        lo, hi = max(0, len(word) - 8 * need - 8), len(word)
+        reach = 8 * need + 8
+        while reach < len(word) and self.counter.text(word[-reach:]) < need:
+            reach *= 2
+        lo, hi = max(0, len(word) - reach), len(word)
         while lo < hi:
             mid = (lo + hi + 1) // 2
             if self.counter.text(word[mid:]) >= need:

@@ -45,6 +45,14 @@ def test_overlap_is_near_the_asked(splitter):
     assert all(22 <= p.overlap <= 33 for p in pieces[1:])
 
 
+@pytest.mark.parametrize("text", ["=" * 40_000, "word " * 300 + "=" * 30_000 + " word" * 300, ("-" * 4_000 + "\n") * 30])
+@pytest.mark.parametrize("limit,overlap", [(128, 32), (512, 64)])
+def test_runs_of_long_tokens(splitter, text, limit, overlap):
+    pieces = check(splitter, text, limit, overlap)
+    assert all(overlap - 1 <= p.overlap <= overlap + 8 for p in pieces[1:])
+    assert text.strip("=") or all(p.tokens > limit - 8 for p in pieces[:-1])
+
+
 def test_cuts_where_the_text_breaks(splitter):
     sentence = "Revenue rose in the quarter and margins held up well. "
     text = "\n\n".join(sentence * 6 for _ in range(8))
