@@ -13,7 +13,7 @@ from tapeloom.llm.mix import mix
 from tapeloom.llm.split import source_key, split_texts
 from tapeloom.llm.survivors import Quality, judge_values, survivors
 from tapeloom.llm.topn import top_n
-from tapeloom.operators.bars import daily_amount
+from tapeloom.operators.bars import daily_amount, lineage
 from tapeloom.session import materialize, small, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,16 @@ HAVING coalesce(max(open), max(high), max(low), max(close), max(volume), max(amo
 """
 
 
+def p2_rows(spark: SparkSession, d: str) -> DataFrame:
+    """One row for every key, those of one delivery and of nulls alone too, each measure from the delivery first in lineage order that has it."""
+    kline = table(spark, d, "dwd_fact_equity_kline_1d").withColumn("equity_code", equity_code(F.col("equity_code")))
+    best = [F.max(F.when(F.col(m).isNotNull(), lineage(m))).getField(m).alias(m) for m in MEASURES]
+    return kline.groupBy(*KEY).agg(*best).withColumn("date", yyyymmdd(F.col("date")))
+
+
+P2_ROWS_SQL = P2_SURVIVORS_SQL.replace("WHERE n > 1 ", "").partition("HAVING")[0]
+
+
 def p2_truth(spark: SparkSession, d: str) -> DataFrame:
     """Every value of a repeated key's measures that the model of source quality judges true."""
     values = _judged(spark, d)[0].where("posterior >= 0.5")
@@ -143,8 +153,8 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_survivors": p2_survivors, "p2_truth": p2_truth, "p2_sources": p2_sources, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_survivors": p2_survivors, "p2_rows": p2_rows, "p2_truth": p2_truth, "p2_sources": p2_sources, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p2_found": P2_SQL, "p2_survivors": P2_SURVIVORS_SQL}
+    return {"p1_found": P1_SQL, "p2_found": P2_SQL, "p2_survivors": P2_SURVIVORS_SQL, "p2_rows": P2_ROWS_SQL}

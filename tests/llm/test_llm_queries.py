@@ -15,3 +15,14 @@ def test_same_as_sql(name, compare):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(name, spark, data):
     QUERIES[name](spark, data).collect()
+
+
+def test_one_row_for_every_key(spark, tmp_path):
+    import datetime as dt
+
+    schema = "equity_code string, date date, adjust_type string, source_file string, source_entry string, source_hash string, open double, high double, low double, close double, volume double, amount double"
+    row = lambda code, file, *v: (code, dt.date(2024, 1, 2), "none", file, None, "h", *v, *[None] * (6 - len(v)))
+    rows = [row("600000.SH", "a/1", 1.0, 2.0), row("600000.SH", "b/1", 3.0), row("600001.SH", "a/1", 4.0), row("600002.SH", "a/1"), row("600003.SH", "a/1"), row("600003.SH", "b/1")]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/dwd_fact_equity_kline_1d.parquet")
+    got = sorted((r["equity_code"], r["date"], r["open"], r["high"], r["low"]) for r in QUERIES["p2_rows"](spark, str(tmp_path)).collect())
+    assert got == [(c, "20240102", o, h, None) for c, o, h in (("600000.SH", 3.0, 2.0), ("600001.SH", 4.0, None), ("600002.SH", None, None), ("600003.SH", None, None))]
