@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from tapeloom.functions.names import renamed
 from tapeloom.session import materialize
 
-#: Records at a file's end and the next one's start that are held against each other.
-EDGE_ROWS = 8
 #: Files of a batch whose order is worked out together.
 SEQ_BLOCK = 4096
 
@@ -215,11 +213,14 @@ def overlap(tail: list[dict], head: list[dict]) -> list[tuple[dict, dict]]:
         plain = (plain_value(v) for v in record.values())
         return {round(v) if isinstance(v, float) else v for v in plain if v is not None and v not in (0.0, 1.0)}
 
+    def alike(x: set, y: set) -> bool:
+        return bool(x & y) and 2 * len(x & y) >= min(len(x), len(y))
+
     before, after = [values(r) for r in tail], [values(r) for r in head]
     best = 0
     for k in range(1, min(len(tail), len(head)) + 1):
-        pairs = list(zip(before[-k:], after[:k]))
-        if all(x & y and 2 * len(x & y) >= min(len(x), len(y)) for x, y in pairs):
+        at = len(before) - k
+        if all(alike(before[at + i], after[i]) for i in range(k)):
             best = k
     return list(zip(tail[-best:], head[:best])) if best else []
 
@@ -291,7 +292,14 @@ def previous_files(files: DataFrame) -> DataFrame:
     return joined.select("gcs_uri", F.coalesce("before", "carried").alias("before")).where("before IS NOT NULL")
 
 
-def edge_records(rows: DataFrame, edge: int = EDGE_ROWS) -> DataFrame:
+def longest_edge(pairs: DataFrame, rows: DataFrame) -> int:
+    """The most records that a file of ``pairs`` (gcs_uri, before) can share with the one before it: those of the shorter of the two."""
+    counts = rows.where("gcs_uri IS NOT NULL").groupBy("gcs_uri").agg(F.count(F.lit(1)).alias("n"))
+    both = pairs.join(counts, "gcs_uri").join(counts.select(F.col("gcs_uri").alias("before"), F.col("n").alias("m")), "before")
+    return both.agg(F.max(F.least("n", "m"))).first()[0] or 0
+
+
+def edge_records(rows: DataFrame, edge: int) -> DataFrame:
     """(gcs_uri, head, tail): the first and last ``edge`` records of each file, in order. Each map task keeps only its own ``edge`` first
     and last records of a file before anything is shuffled."""
     out = None
@@ -308,14 +316,16 @@ def edit_scripts(footers: DataFrame, rows: DataFrame) -> DataFrame:
     Kinds: kept, added, removed, renamed, retyped, moved; ``old`` and ``new`` are names as written, nested ones with their path. Schemas
     are trees of columns and nested fields; the script is a least-cost one, where a rename is cheap if the records that both files hold
     have the same values under both names (:func:`rename_by_evidence`). Each pair of files is one row, so pairs are worked on in
-    parallel however they are spread over batches. Files without records rely on names. Null names are ignored, repeated footer rows
+    parallel however they are spread over batches; it holds their records up to the length of the longest possible overlap, so a file must
+    fit into a task. Files without records rely on names. Null names are ignored, repeated footer rows
     count once; unreadable records are passed over. Empty inputs give no rows.
     """
     files = file_columns(footers)
-    edges = edge_records(rows)
+    linked = previous_files(files)
+    edges = edge_records(rows, longest_edge(linked, rows))
     after = files.select("gcs_uri", F.col("columns").alias("new_columns")).join(edges.select("gcs_uri", "head"), "gcs_uri", "left")
     before = files.select("gcs_uri", F.col("columns").alias("old_columns")).join(edges.select("gcs_uri", "tail"), "gcs_uri", "left")
-    pairs = previous_files(files).join(after, "gcs_uri").join(before.withColumnRenamed("gcs_uri", "before"), "before")
+    pairs = linked.join(after, "gcs_uri").join(before.withColumnRenamed("gcs_uri", "before"), "before")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         listed = lambda x: [] if x is None else list(x)

@@ -86,3 +86,12 @@ def test_empty(spark):
     f, r = spark.createDataFrame([], FOOTER), spark.createDataFrame([], ROW)
     scripts = edit_scripts(f, r)
     assert scripts.collect() == [] and unify(f, r, scripts).collect() == []
+
+
+@pytest.mark.parametrize("shared", [8, 9, 40])
+def test_overlap_of_any_length(spark, shared):
+    footers = [("b", "t", i, f"f{i}", k, name, kind) for i, names in enumerate((["code", "px"], ["code", "zz"])) for k, (name, kind) in enumerate(zip(names, ("string", "double")))]
+    record = lambda i, name: json.dumps({"code": f"{600000 + i}.SH", name: 10.5 + 3 * i})
+    rows = [("f0", i, record(i, "px")) for i in range(shared + 5)] + [("f1", i, record(i + 5, "zz")) for i in range(shared + 7)]
+    got = {(r["kind"], r["old"], r["new"]) for r in edit_scripts(spark.createDataFrame(footers, FOOTER), spark.createDataFrame(rows, ROW)).collect()}
+    assert got == {("kept", "code", "code"), ("renamed", "px", "zz")}
