@@ -139,7 +139,9 @@ FROM dense WINDOW w7 AS (PARTITION BY code ORDER BY date ROWS 6 PRECEDING), w30
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     small = small_files(table(spark, d, "ods_gcs_load_manifest"), table(spark, d, "parquet_manifest"))
-    return plan_blocks(materialize(small, "p5-small")).select(F.col("path").alias("gcs_uri"))
+    # written with block and offset, as a selection of paths alone would have the plan pruned away
+    planned = materialize(plan_blocks(materialize(small, "p5-small")), "p5-plan")
+    return planned.select(F.col("path").alias("gcs_uri"))
 
 
 P5_SQL = f"""

@@ -59,3 +59,12 @@ def test_record_files(spark):
     got = records(unpack(pack(record_files(df, part_rows=7)))).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(rows, key=repr)
     assert records(unpack(pack(record_files(spark.createDataFrame([], schema))))).collect() == []
+
+
+def test_found_files_are_planned(spark, data, monkeypatch):
+    from tapeloom.plans import prepared
+
+    kept = {}
+    monkeypatch.setattr(prepared, "materialize", lambda df, name: kept.setdefault(name, df))
+    prepared.p5_found(spark, data)
+    assert {"path", "block_id", "offset", "length"} <= set(kept["p5-plan"].columns)
