@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tapeloom.functions.names import col, keep_clear, prefix
-from tapeloom.llm.encode import LIST_WORDS, REMEMBERED, TOKENIZERS, WORD_PATTERN
+from tapeloom.llm.encode import LIST_WORDS, REMEMBERED, TOKENIZERS, WORD_PATTERN, WordFinder
 
 DEFAULT_RANKS = "byte_bpe_50k.tiktoken"
 
@@ -29,11 +29,10 @@ class Counter:
     """Counts the tokens of words and texts; the pattern cuts a text into words, and no token reaches across two of them."""
 
     def __init__(self, text: bytes):
-        import regex
         import tiktoken
 
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in text.splitlines() if line)}
-        self.find = regex.compile(WORD_PATTERN)
+        self.find = WordFinder()
         self._encode = tiktoken.Encoding("own", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.known: dict[str, int] = {}
 

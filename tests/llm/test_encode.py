@@ -58,6 +58,17 @@ def test_random_bytes_decode_to_themselves():
     assert [b"".join(back[i] for i in got) for got in merges.encode(words)] == words
 
 
+def test_words_as_by_the_pattern():
+    import regex
+
+    finder, pattern, rnd = module.WordFinder(), regex.compile(WORD_PATTERN), random.Random(4)
+    plane = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    for i in range(200):
+        text = "".join(rnd.choice(plane) for _ in range(300)) + "".join(rnd.choice(" '\nsa1中é") for _ in range(100)) + ("𝔸𝟙👍" if i % 2 else "")
+        assert finder.findall(text) == pattern.findall(text) == [m.group() for m in finder.finditer(text)]
+    assert all(finder.findall(f"a{c} {c}1") == pattern.findall(f"a{c} {c}1") for c in plane)
+
+
 def test_frame(spark, library):
     rows = [(1, None, "n"), (2, "", "e"), (3, "same words", "a"), (3, "same words", "a"), (4, "中文 " * 5000, None)]
     df = encode(spark.createDataFrame(rows, "doc_id bigint, text string, tag string"), "text")
