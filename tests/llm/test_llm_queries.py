@@ -26,3 +26,9 @@ def test_one_row_for_every_key(spark, tmp_path):
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/dwd_fact_equity_kline_1d.parquet")
     got = sorted((r["equity_code"], r["date"], r["open"], r["high"], r["low"]) for r in QUERIES["p2_rows"](spark, str(tmp_path)).collect())
     assert got == [(c, "20240102", o, h, None) for c, o, h in (("600000.SH", 3.0, 2.0), ("600001.SH", 4.0, None), ("600002.SH", None, None), ("600003.SH", None, None))]
+
+
+def test_heavy_and_light_groups_both_take_part_in_p1(spark, data):
+    """Dates are heavy and weeks of a code light at every scale: the range sort and the ordinary window are both in the plan."""
+    plan = QUERIES["p1_found"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") >= 2 and "LeftSemi" in plan and plan.count("Window") > plan.count("WindowGroupLimit") > 3

@@ -29,9 +29,13 @@ def test_same_at_every_threshold(spark, hot, n):
     assert run(spark, rows, n, hot_rows=hot) == brute(rows, n)
 
 
-def test_cap_on_heavy_groups_is_exact(spark):
-    rows = [(g, float(i % 7), i, None) for g in "abcdef" for i in range(30)]
-    assert run(spark, rows, 4, hot_rows=5, max_hot=2) == brute(rows, 4)
+def test_line_follows_from_the_data(spark):
+    rows = [("hot", float(i % 7), i, None) for i in range(300)] + [(f"g{i}", float(i % 3), i, None) for i in range(400)]
+    assert run(spark, rows, 4) == brute(rows, 4)
+    plan = top_n(spark.createDataFrame(rows, SCHEMA), ["g"], [F.col("score").desc()], 4)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan and "LeftAnti" in plan and "LeftSemi" in plan
+    even = spark.createDataFrame([(f"g{i}", 1.0, i, None) for i in range(1000)], SCHEMA)
+    assert "rangepartitioning" not in top_n(even, ["g"], [F.col("score").desc()], 4)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_empty_copies_and_small_n(spark):
