@@ -72,8 +72,9 @@ def _judged(spark: SparkSession, d: str) -> tuple[DataFrame, Quality]:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    """The surviving row of each measure: of all judged values the one that comes first in the project's lineage order."""
-    return survivors(_judged(spark, d)[0], KEY).select("equity_code", yyyymmdd(F.col("date")).alias("date"), "adjust_type", F.col("field").alias("field_name"), F.col("best.source_hash").alias("source_hash"))
+    """The surviving row of each measure: the model's choice among the judged values, then an exact check against the lineage order, by
+    which these cases are defined."""
+    return survivors(_judged(spark, d)[0], KEY, in_order=True).select("equity_code", yyyymmdd(F.col("date")).alias("date"), "adjust_type", F.col("field").alias("field_name"), F.col("best.source_hash").alias("source_hash"))
 
 
 P2_ROWS = f"""
@@ -90,8 +91,8 @@ QUALIFY row_number() OVER (PARTITION BY equity_code, date, adjust_type, field_na
 
 
 def p2_survivors(spark: SparkSession, d: str) -> DataFrame:
-    """One row for each repeated key, each measure from the best delivery that has it."""
-    chosen = survivors(_judged(spark, d)[0], KEY)
+    """One row for each repeated key, each measure from the first delivery in lineage order that has it: the model's choice, checked."""
+    chosen = survivors(_judged(spark, d)[0], KEY, in_order=True)
     one = chosen.groupBy(*KEY).agg(*[F.max(F.when(F.col("field") == m, F.col("value"))).alias(m) for m in MEASURES])
     return one.withColumn("date", yyyymmdd(F.col("date")))
 
@@ -121,11 +122,16 @@ def p2_truth(spark: SparkSession, d: str) -> DataFrame:
     return values.select(*KEY, "field", "value", F.round("posterior", 6).alias("posterior"), "deliveries").withColumn("date", yyyymmdd(F.col("date")))
 
 
+def p2_trusted(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each repeated key as the model alone has it: each measure the first in lineage order of the values that it judges true."""
+    chosen = survivors(_judged(spark, d)[0], KEY)
+    one = chosen.groupBy(*KEY).agg(*[F.max(F.when(F.col("field") == m, F.col("value"))).alias(m) for m in MEASURES], F.round(F.min("posterior"), 6).alias("least_posterior"))
+    return one.withColumn("date", yyyymmdd(F.col("date")))
+
+
 def p2_sources(spark: SparkSession, d: str) -> DataFrame:
     """Sensitivity and specificity of each source of kline rows."""
-    q = _judged(spark, d)[1]
-    rows = [(s, round(a, 6), round(b, 6)) for s, a, b in zip(q.sources, q.sensitivity, q.specificity)]
-    return spark.createDataFrame(rows, "source STRING, sensitivity DOUBLE, specificity DOUBLE")
+    return _judged(spark, d)[1].sources.select("source", F.round("sensitivity", 6).alias("sensitivity"), F.round("specificity", 6).alias("specificity"))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -153,7 +159,7 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_survivors": p2_survivors, "p2_rows": p2_rows, "p2_truth": p2_truth, "p2_sources": p2_sources, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_survivors": p2_survivors, "p2_rows": p2_rows, "p2_truth": p2_truth, "p2_trusted": p2_trusted, "p2_sources": p2_sources, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -32,3 +32,25 @@ def test_heavy_and_light_groups_both_take_part_in_p1(spark, data):
     """Dates are heavy and weeks of a code light at every scale: the range sort and the ordinary window are both in the plan."""
     plan = QUERIES["p1_found"](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("rangepartitioning") >= 2 and "LeftSemi" in plan and plan.count("Window") > plan.count("WindowGroupLimit") > 3
+
+
+def test_planted_source_qualities_come_out(spark, tmp_path):
+    """At the level of the queries: channels of known error rates; p2_sources ranks them, p2_truth and p2_trusted follow the good ones."""
+    import datetime as dt
+    import random
+
+    rnd, schema = random.Random(11), "equity_code string, date date, adjust_type string, source_file string, source_entry string, source_hash string, open double, high double, low double, close double, volume double, amount double"
+    rows = []
+    for i in range(150):
+        for channel, wrong in (("full", 0.03), ("delta", 0.03), ("tuishi", 0.7)):
+            values = [float(rnd.randrange(1_000, 9_000)) / 7 if rnd.random() < wrong else float(10 + m) for m in range(6)]
+            rows.append((f"{600000 + i}.SH", dt.date(2024, 1, 2), "none", f"{channel}/x", None, f"{channel}-{i}", *values))
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/dwd_fact_equity_kline_1d.parquet")
+    run = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
+    clean = {r["source"]: r["specificity"] for r in run("p2_sources")}
+    assert clean["tuishi"] < 0.6 < 0.85 < min(clean["full"], clean["delta"])
+    trusted = [r[m] == 10 + i for r in run("p2_trusted") for i, m in enumerate(queries.MEASURES)]
+    assert len(trusted) == 900 and sum(trusted) > 0.97 * 900
+    truth = [r["value"] == 10 + queries.MEASURES.index(r["field"]) for r in run("p2_truth")]
+    assert sum(truth) > 0.97 * len(truth) and len(truth) > 880
+    assert all(r["source_hash"].startswith("tuishi") for r in run("p2_found"))
