@@ -52,5 +52,6 @@ def test_planted_source_qualities_come_out(spark, tmp_path):
     trusted = [r[m] == 10 + i for r in run("p2_trusted") for i, m in enumerate(queries.MEASURES)]
     assert len(trusted) == 900 and sum(trusted) > 0.97 * 900
     truth = [r["value"] == 10 + queries.MEASURES.index(r["field"]) for r in run("p2_truth")]
-    assert sum(truth) > 0.97 * len(truth) and len(truth) > 880
+    # where the two good channels differ, 6 % of all, both values may be held true
+    assert sum(truth) > 0.98 * 900 and len(truth) - sum(truth) < 0.065 * 900
     assert all(r["source_hash"].startswith("tuishi") for r in run("p2_found"))
