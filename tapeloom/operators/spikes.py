@@ -16,8 +16,16 @@ BLOCK_DAYS, HALO_DAYS = 512, 48
 #: Readings before and after a date that say what is usual around it.
 AROUND = 5
 TREES, SUBSAMPLE, LEVELS = 24, 64, 8
-#: Isolation score from which a reading is a candidate for a spike.
-CANDIDATE = 0.45
+#: A reading is isolated if its score is so much above the median score of its own source's usual readings.
+ISOLATED = 0.28
+#: A reading is far off if it differs by so many usual moves of its source from the readings before and from those after it, or, where
+#: there are readings on one side only, by so many from those.
+FAR, FAR_ONE_SIDE = 5.0, 20.0
+#: A source's usual move is the greatest of three robust estimates: quantiles of its steps and the 90 % quantile of its difference feature,
+#: each over what it is for normal steps of 1 (that of the feature by simulation of a random walk).
+USUAL_STEP, USUAL_TURN = ((0.5, 0.6745), (0.8, 1.2816)), 1.1
+#: Usual moves count as this at least, in log ratio, as readings are rounded.
+SMALLEST_MOVE = 1e-3
 #: Readings other than a date's chosen one that a tree is grown on, as a share of the dates.
 OTHER_SHARE = 0.05
 #: Distinct readings that are worked on at once, whole sources only.
@@ -28,21 +36,15 @@ IMPOSSIBLE, SPIKE, STUCK = 1, 2, 4
 
 @dataclass(frozen=True)
 class Limits:
-    """What a field allows.
+    """What a field allows: physical limits and frozen runs, the only explicit rules.
 
-    ``zero``: zero is a possible reading. ``most``: greater readings are impossible. ``fills``: values written where there was none; they
-    are impossible if far off. ``far`` and ``sigmas``: a reading is far off if the logarithm of its ratio to the readings before and to
-    those after is at least ``far`` and at least ``sigmas`` usual moves of its source. ``edge``: the same where a source has readings on
-    one side only; none: never. ``stuck``: equal readings on so many dates in a row are frozen; none: constant readings are usual.
-    ``active``: the field of which a positive reading marks a date as active; frozen readings are sought on active dates only.
+    ``zero``: zero is a possible reading. ``most``: greater readings are impossible. ``stuck``: equal readings on so many dates in a row
+    are frozen; none: constant readings are usual. ``active``: the field of which a positive reading marks a date as active; frozen
+    readings are sought on active dates only.
     """
 
     zero: bool = False
     most: float = np.inf
-    fills: tuple[float, ...] = ()
-    far: float = 0.2
-    sigmas: float = 5.0
-    edge: float | None = None
     stuck: int | None = None
     active: str | None = None
 
@@ -55,9 +57,11 @@ def flag_readings(rows: DataFrame, source: list[str], day: str, limits: dict[str
     distinct readings, and those are judged in blocks of BLOCK_DAYS days with HALO_DAYS days on either side. Every reading gets four
     features: its level against the source's median, its difference from the readings around it, its level against the same weekday's
     and the length of the run of equal readings it is in. An isolation forest per source (TREES trees of at most SUBSAMPLE readings,
-    random numbers from a hash of the source, so that results don't depend on partitions) scores all readings; those that score
-    CANDIDATE or more and are far off both the readings before and after them are spikes. A lasting change of level is near the
-    readings after it and so is none. Readings outside of the limits are impossible, and all but the first of a long run are stuck.
+    random numbers from a hash of the source, so that results don't depend on partitions) scores all readings. A spike is a reading that
+    the forest isolates, by ISOLATED above the median score of its own source's usual readings, and whose difference feature is FAR usual moves of the
+    source or more on both sides; no other number is set by field. A lasting change of level is near the readings after it and so is
+    none. Readings outside of the limits are impossible, and all but the first of a long run are stuck. A source that spans more than one
+    block has a forest for each block.
 
     Null readings, and rows with a null date or source column, are passed over; NaN and infinite readings are impossible. Empty input
     gives no rows. Other columns of ``rows`` are not read.
@@ -151,8 +155,8 @@ def _row_median(m: np.ndarray) -> np.ndarray:
         return np.where(n > 0, (m[i, np.maximum((n - 1) // 2, 0)] + m[i, np.minimum(n // 2, m.shape[1] - 1)]) / 2, np.nan)
 
 
-def _segment_median(x: np.ndarray, seg: np.ndarray, count: int) -> np.ndarray:
-    """Lower median of x in each of ``count`` segments, NaNs left out; NaN for a segment without values."""
+def _segment_quantile(x: np.ndarray, seg: np.ndarray, count: int, q: float = 0.5) -> np.ndarray:
+    """Lower quantile of x in each of ``count`` segments, NaNs left out; NaN for a segment without values."""
     ok = ~np.isnan(x)
     x, seg = x[ok], seg[ok]
     order = np.lexsort((x, seg))
@@ -160,7 +164,7 @@ def _segment_median(x: np.ndarray, seg: np.ndarray, count: int) -> np.ndarray:
     first = np.cumsum(size) - size
     out = np.full(count, np.nan)
     has = size > 0
-    out[has] = x[order][first[has] + (size[has] - 1) // 2]
+    out[has] = x[order][first[has] + ((size[has] - 1) * q).astype(np.int64)]
     return out
 
 
@@ -204,10 +208,12 @@ def judge(ids: np.ndarray, f: np.ndarray, d: np.ndarray, v: np.ndarray, copies:
     # how the source usually moves from date to date, and its level
     s = len(series_at)
     step = np.abs(first - _around(first, gs, [-1])[:, 0])
-    usual = np.nan_to_num(1.4826 * _segment_median(step, gs, s))[series]
-    level = log - _segment_median(first, gs, s)[series]
+    turning = np.where(np.isnan(first), np.nan, away[chosen]) if len(chosen) else first
+    steps = [_segment_quantile(step, gs, s, q) / normal for q, normal in USUAL_STEP]
+    usual = np.nan_to_num(np.max([*steps, _segment_quantile(turning, gs, s, 0.9) / USUAL_TURN], axis=0))[series]
+    level = log - _segment_quantile(first, gs, s)[series]
     weekday = gs * 7 + d[dates_at] % 7
-    seasonal = log - _segment_median(first, weekday, s * 7)[weekday][date]
+    seasonal = log - _segment_quantile(first, weekday, s * 7)[weekday][date]
 
     run, later = _runs(ids, f, d, v, series, limits, names)
 
@@ -216,6 +222,7 @@ def judge(ids: np.ndarray, f: np.ndarray, d: np.ndarray, v: np.ndarray, copies:
     features[~finite] = 60.0
     points = (log != log) & finite & (v == 0) & per(lambda x: x.zero).astype(bool)
     features[points] = 0.0  # zeros that the field allows say nothing about level
+    impossible = ~finite | (v < 0) | ((v == 0) & (per(lambda x: x.zero) == 0)) | (v > per(lambda x: x.most))
     # A source's forest is grown on what it usually reads: the value chosen for each date, and few of the other deliveries, however many
     # they are, so that values which are wrong again and again stay rare in it.
     usual_row = np.zeros(n, bool)
@@ -224,16 +231,12 @@ def judge(ids: np.ndarray, f: np.ndarray, d: np.ndarray, v: np.ndarray, copies:
     others = np.bincount(series, minlength=s) - dates
     keep = np.minimum(1.0, SUBSAMPLE / dates)[series]
     keep = np.where(usual_row, keep, np.minimum(keep, (OTHER_SHARE * dates / np.maximum(others, 1))[series]))
+    keep = np.where(impossible, 0.0, keep)
     score = forest(features, series_at, ids[series_at].astype(np.uint64) * np.uint64(31) + kind.astype(np.uint64), keep)
 
-    fills = np.zeros(n, bool)
-    for i, x in enumerate(limits):
-        if x.fills:
-            fills |= (f == i) & np.isin(v, x.fills)
-    impossible = ~finite | (v < 0) | ((v == 0) & (per(lambda x: x.zero) == 0)) | (v > per(lambda x: x.most)) | (fills & (np.abs(level) > 1))
-    floor = np.maximum(per(lambda x: x.far), per(lambda x: x.sigmas) * usual)
-    edge = np.maximum(per(lambda x: np.inf if x.edge is None else x.edge), per(lambda x: x.sigmas) * usual)
-    spike = (score >= CANDIDATE) & ((away >= floor) | (one >= edge)) & ~impossible
+    isolated = score >= _segment_quantile(score[chosen], gs, s)[series] + ISOLATED
+    moved = np.maximum(usual, SMALLEST_MOVE)
+    spike = isolated & ((away >= FAR * moved) | (one >= FAR_ONE_SIDE * moved)) & ~impossible
     stuck = later & (run >= per(lambda x: np.inf if x.stuck is None else x.stuck)) & ~impossible
     return score, IMPOSSIBLE * impossible + SPIKE * spike + STUCK * stuck
 

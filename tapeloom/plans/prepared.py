@@ -20,13 +20,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 KLINE, FACTOR, INDICATOR = "dwd_fact_equity_kline_1d", "dwd_fact_adjust_factor", "dwd_fact_financial_indicator"
 
 
-#: What counts as credible. A price is far off from 1.16 times and 12 usual moves, a volume from 47 times the readings around it.
-FILLS = (9999.0, 99999.0, 999999.0)
-KLINE_LIMITS = {
-    "close": Limits(fills=FILLS, far=0.15, sigmas=12.0, edge=2.0, stuck=7, active="volume"),
-    "volume": Limits(zero=True, most=1e13, far=3.85, sigmas=2.5, edge=4.5, stuck=5),
-}
-FACTOR_LIMITS = {"adjust_factor": Limits(fills=FILLS, far=0.05, sigmas=4.0, edge=2.0)}
+#: Physical limits of the readings, and runs of equal ones that no trading gives.
+KLINE_LIMITS = {"close": Limits(stuck=7, active="volume"), "volume": Limits(zero=True, most=1e13, stuck=5)}
+FACTOR_LIMITS = {"adjust_factor": Limits()}
 
 
 def _incredible(spark: SparkSession, d: str, name: str, limits: dict[str, Limits]) -> DataFrame:

@@ -8,7 +8,7 @@ from tapeloom.operators import spikes
 from tapeloom.operators.spikes import Limits, flag_readings, forest
 
 D0 = dt.date(2020, 1, 6)
-LIMITS = {"close": Limits(fills=(9999.0,), far=0.2, sigmas=4, edge=2.0, stuck=7, active="volume"), "volume": Limits(zero=True, most=1e13, far=3.9, sigmas=3, edge=4.5, stuck=5)}
+LIMITS = {"close": Limits(stuck=7, active="volume"), "volume": Limits(zero=True, most=1e13, stuck=5)}
 SCHEMA = "code string, date date, close double, volume double"
 
 
@@ -42,7 +42,25 @@ def test_spikes_level_changes_and_limits(spark):
     rows[5][3] = 0.0  # a pause
     for r in rows[42:]:
         r[2] = round(r[2] * 2, 2)  # lasting
-    assert flags(spark, rows) == {("a", 10, "close"): "s", ("a", 20, "close"): "s", ("a", 21, "close"): "s", ("a", 30, "close"): "i", ("a", 35, "close"): "i", ("a", 15, "volume"): "s", ("a", 25, "volume"): "i"}
+    assert flags(spark, rows) == {("a", 10, "close"): "s", ("a", 20, "close"): "s", ("a", 21, "close"): "s", ("a", 30, "close"): "i", ("a", 35, "close"): "s", ("a", 15, "volume"): "s", ("a", 25, "volume"): "i"}
+
+
+def test_the_forest_decides(monkeypatch):
+    """Far off by its source's usual moves is not enough: a reading must be isolated among its source's readings, too."""
+    rng = np.random.default_rng(9)
+    n, sources = 60, 40
+    v = np.concatenate([10 * np.exp(np.cumsum(rng.normal(0, 0.01, n))) for _ in range(sources)])
+    for k in (6, 15, 24, 40, 52):  # days that jump and come back, as this source's do now and then
+        v[k::n] *= 1.12
+    v[30::n] *= 8  # one spike each
+    ids, d = np.repeat(np.arange(sources), n), np.tile(np.arange(n), sources)
+
+    def judged(level):
+        monkeypatch.setattr(spikes, "ISOLATED", level)
+        return set(np.flatnonzero(spikes.judge(ids, np.zeros(n * sources, np.int8), d, v, np.ones(n * sources, int), [Limits()], ["close"])[1]).tolist())
+
+    planted, with_forest, without = set(range(30, n * sources, n)), judged(0.28), judged(-1.0)
+    assert planted <= with_forest < without and len(without - planted) > 2 * len(with_forest - planted)
 
 
 def test_later_deliveries_and_copies(spark):
