@@ -9,14 +9,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions.names import renamed
-from tapeloom.session import materialize
+from tapeloom.session import materialize, small
 
 #: Files of a batch whose order is worked out together.
 SEQ_BLOCK = 4096
+#: Different names, and columns of the one table, that the driver knows at most; more raise ValueError.
+MAX_NAMES = 2_000
 
 # Edit costs. A column that goes on under its name costs nothing, a removal or an addition 1 for each node of the tree, so a rename
 # is only in the script if it is cheaper than a removal with an addition.
@@ -24,22 +26,6 @@ REMOVE = ADD = 1.0
 RETYPE = 0.05
 RENAME_BY_VALUES, RENAME_BY_ROUNDED_VALUES, RENAME_BY_NAME, MOVE, NEVER = 0.2, 0.5, 0.8, 0.6, 1e6
 
-# Names by which the market's data vendors call the same quantity.
-SAME_QUANTITY = (
-    ("code", "symbol", "security_code", "ts_code", "证券代码", "股票代码", "equity_code"),
-    ("date", "trade_date", "tradeday", "日期", "交易日期"),
-    ("open", "px_open", "开盘", "开盘价"),
-    ("high", "hi_px", "最高", "最高价"),
-    ("low", "lo_px", "最低", "最低价"),
-    ("close", "last_px", "收盘", "收盘价"),
-    ("volume", "vol", "turnover_qty", "成交量"),
-    ("amount", "amt", "turnover_value", "成交额", "成交金额"),
-    ("adjust_factor", "adj_factor", "factor", "复权因子"),
-    ("net_inflow_amount", "net_in", "净流入", "主力净流入"),
-    ("big_buy", "large_buy_amt", "大单买入"),
-    ("big_sell", "large_sell_amt", "大单卖出"),
-)
-_QUANTITY = {name: group[0] for group in SAME_QUANTITY for name in group}
 _BLANK = ("", "-", "--", "null", "none", "nan", "n/a")
 _NUMBER = re.compile(r"[+-]?(\d[\d,]*)?\.?\d+(e[+-]?\d+)?", re.I)
 _DATE = re.compile(r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})([ T].*)?")
@@ -52,12 +38,6 @@ def plain_name(name: str) -> str:
     return text[:-4] if text.endswith("_raw") else text
 
 
-def quantity(name: str) -> str:
-    """The quantity a name stands for: the first of the names for the same one, or the plain name."""
-    text = plain_name(name)
-    return _QUANTITY.get(text, text)
-
-
 def plain_value(value: object) -> float | str | None:
     """A value in a form that survives another type or format: numbers, dates (as YYYYMMDD) and codes as numbers, blanks as None."""
     if value is None or isinstance(value, (bool, int, float)):
@@ -234,18 +214,22 @@ def _agree(x: float | str, y: float | str) -> float:
     return float(x == y)
 
 
-def rename_by_evidence(pairs: list[tuple[dict, dict]]):
-    """Cost of a rename: low where the values of both names agree on all overlapping records, else by the names, never against the values."""
+def rename_by_evidence(pairs: list[tuple[dict, dict]], called: dict[str, str] | None = None):
+    """Cost of a rename: low where the values of both names agree on all overlapping records; where there are no values to compare, names
+    that differ in marks, case or the suffix ``_raw`` alone count as one, and so do those that ``called`` gives the same name, as values
+    proved it in other files. Names never stand against values."""
+    called = called or {}
 
     def cost(old: str, new: str, x: Node, y: Node) -> float:
-        alike = quantity(x.name) == quantity(y.name)
+        a, b = plain_name(x.name), plain_name(y.name)
+        alike = called.get(a, a) == called.get(b, b)
         seen = [(plain_value(a.get(old)), plain_value(b.get(new))) for a, b in pairs]
         seen = [(p, q) for p, q in seen if p is not None and q is not None]
         if not seen:
             return RENAME_BY_NAME if alike else NEVER
         marks = [_agree(p, q) for p, q in seen]
         if min(marks) == 0:
-            return NEVER if 2 * sum(m > 0 for m in marks) <= len(marks) or not alike else RENAME_BY_NAME
+            return NEVER
         telling = any(p not in (0.0, 1.0) for p, _ in seen)  # flags agree by chance
         if alike:
             return RENAME_BY_VALUES if min(marks) == 1 else RENAME_BY_VALUES + 0.1
@@ -254,11 +238,11 @@ def rename_by_evidence(pairs: list[tuple[dict, dict]]):
     return cost
 
 
-def script(before: list[tuple[str, str]], after: list[tuple[str, str]], tail: list[str], head: list[str]) -> list[tuple[str, str, str]]:
+def script(before: list[tuple[str, str]], after: list[tuple[str, str]], tail: list[str], head: list[str], called: dict[str, str] | None = None) -> list[tuple[str, str, str]]:
     """Edit script between the columns (name, type) of two files, given the last and the first records as JSON texts."""
     load = [[r for r in (_record(t) for t in side) if r is not None] for side in (tail, head)]
     pairs = overlap(*load)
-    _, steps = edit([Node(*c) for c in before], [Node(*c) for c in after], rename_by_evidence(pairs))
+    _, steps = edit([Node(*c) for c in before], [Node(*c) for c in after], rename_by_evidence(pairs, called))
     return moves(steps)
 
 
@@ -315,13 +299,36 @@ def edit_scripts(footers: DataFrame, rows: DataFrame) -> DataFrame:
 
     Kinds: kept, added, removed, renamed, retyped, moved; ``old`` and ``new`` are names as written, nested ones with their path. Schemas
     are trees of columns and nested fields; the script is a least-cost one, where a rename is cheap if the records that both files hold
-    have the same values under both names (:func:`rename_by_evidence`). Each pair of files is one row, so pairs are worked on in
+    have the same values under both names (:func:`rename_by_evidence`). What values proved in some files then serves those pairs of files
+    that lose one name and gain another for the same quantity without values to compare: they are gone over once more. Each pair of files is one row, so pairs are worked on in
     parallel however they are spread over batches; it holds their records up to the length of the longest possible overlap, so a file must
     fit into a task. Files without records rely on names. Null names are ignored, repeated footer rows
     count once; unreadable records are passed over. Empty inputs give no rows.
     """
     files = file_columns(footers)
     linked = previous_files(files)
+    first = materialize(_scripts(files, linked, rows, {}), "p6-scripts")
+    called = one_name_each(footers, first, MAX_NAMES)
+    if not called:
+        return first
+    name = lambda c: _called(called)[_plain(c)]
+    gone, new = (first.where(F.col("kind") == k).select("gcs_uri", "before", name(F.col(c)).alias("name")).where("name IS NOT NULL") for k, c in (("removed", "old"), ("added", "new")))
+    doubtful = materialize(gone.join(new, ["gcs_uri", "before", "name"], "left_semi").select("gcs_uri", "before").distinct(), "p6-doubtful")
+    touched = doubtful.select(F.explode(F.array("gcs_uri", "before")).alias("gcs_uri")).distinct()
+    again = _scripts(files, doubtful, rows.join(small(touched), "gcs_uri", "left_semi"), called)
+    return first.join(small(doubtful.select("gcs_uri")), "gcs_uri", "left_anti").unionByName(again)
+
+
+def _plain(c: Column) -> Column:
+    """Column form of :func:`plain_name`, of the last part of a path."""
+    return F.regexp_replace(F.lower(F.trim(F.replace(F.element_at(F.split(c, r"\."), -1), F.lit("\ufeff"), F.lit("")))), "_raw$", "")
+
+
+def _called(called: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in sorted(called.items()) for x in pair])
+
+
+def _scripts(files: DataFrame, linked: DataFrame, rows: DataFrame, called: dict[str, str]) -> DataFrame:
     edges = edge_records(rows, longest_edge(linked, rows))
     after = files.select("gcs_uri", F.col("columns").alias("new_columns")).join(edges.select("gcs_uri", "head"), "gcs_uri", "left")
     before = files.select("gcs_uri", F.col("columns").alias("old_columns")).join(edges.select("gcs_uri", "tail"), "gcs_uri", "left")
@@ -334,18 +341,45 @@ def edit_scripts(footers: DataFrame, rows: DataFrame) -> DataFrame:
             found = [
                 (r.gcs_uri, r.before, *step)
                 for r in batch.itertuples(index=False)
-                for step in script(columns(r.old_columns), columns(r.new_columns), listed(r.tail), listed(r.head))
+                for step in script(columns(r.old_columns), columns(r.new_columns), listed(r.tail), listed(r.head), called)
             ]
             yield pd.DataFrame(found, columns=["gcs_uri", "before", "kind", "old", "new"])
 
     return pairs.select("gcs_uri", "before", "old_columns", "new_columns", "tail", "head").mapInPandas(work, "gcs_uri STRING, before STRING, kind STRING, old STRING, new STRING")
 
 
+def one_name_each(footers: DataFrame, scripts: DataFrame, most: int) -> dict[str, str]:
+    """The name under which each root comes out: names of one quantity in different batches are brought together by what renames showed.
+
+    Every rename that values proved in some batch says that two plain names stand for one quantity. The proofs, most frequent first, join
+    names into groups, but never two names of which some file has both; a group is called by its name of the most columns. At most
+    ``most`` names are looked at, as there can be no more columns.
+    """
+    own = footers.where("gcs_uri IS NOT NULL AND column_name IS NOT NULL").select("gcs_uri", _plain(F.col("column_name")).alias("name")).distinct()
+    counted = own.groupBy("name").count().orderBy(F.desc("count"), "name").limit(most + 1).collect()
+    if len(counted) > most:
+        raise ValueError(f"more than {most} names")
+    files = {r["name"]: r["count"] for r in counted}
+    proofs = scripts.where("kind IN ('renamed', 'moved')").groupBy(_plain(F.col("old")).alias("a"), _plain(F.col("new")).alias("b")).count()
+    listed = proofs.where("a <> b").orderBy(F.desc("count"), "a", "b").limit(most * most).collect()
+    names = {x for r in listed for x in (r["a"], r["b"])}
+    held = own.where(F.col("name").isin(sorted(names))) if names else own.limit(0)
+    beside = held.join(held.withColumnRenamed("name", "other"), "gcs_uri").where("name < other").select("name", "other").distinct().collect()  # a file's names with each other
+    apart = {(r["name"], r["other"]) for r in beside}
+    group = {x: frozenset([x]) for x in names}
+    for r in listed:
+        x, y = group[r["a"]], group[r["b"]]
+        if x is not y and not any((min(i, j), max(i, j)) in apart for i in x for j in y):
+            for i in x | y:
+                group[i] = x | y
+    return {x: max(g, key=lambda n: (files.get(n, 0), n)) for x, g in group.items()}
+
+
 def column_roots(footers: DataFrame, scripts: DataFrame) -> DataFrame:
     """(gcs_uri, column_name, root): every column of every file and the quantity it stands for.
 
     Columns are linked to the one they came from by the scripts; links are doubled until each column knows the first one of its line,
-    so a batch of K files takes log2(K) rounds. The root is the quantity of that first name.
+    so a batch of K files takes log2(K) rounds. The root is that first name without marks and case.
     """
     own = footers.where("gcs_uri IS NOT NULL AND column_name IS NOT NULL").select("gcs_uri", "column_name").distinct()
     came = scripts.where("kind IN ('kept', 'renamed', 'moved')").select(F.col("gcs_uri").alias("u"), F.col("new").alias("c"), F.col("before").alias("pu"), F.col("old").alias("pc"))
@@ -364,21 +398,23 @@ def column_roots(footers: DataFrame, scripts: DataFrame) -> DataFrame:
             break
         links = links.drop("moved")
     first = F.coalesce("pc", "column_name")
-    plain = F.regexp_replace(F.lower(F.trim(F.replace(first, F.lit("﻿"), F.lit("")))), "_raw$", "")
-    known = F.create_map(*[F.lit(x) for pair in _QUANTITY.items() for x in pair])
-    return links.select("gcs_uri", "column_name", F.coalesce(known[plain], plain).alias("root"))
+    return links.select("gcs_uri", "column_name", _plain(first).alias("root"))
 
 
-def unify(footers: DataFrame, rows: DataFrame, scripts: DataFrame, max_columns: int = 2_000) -> DataFrame:
+def unify(footers: DataFrame, rows: DataFrame, scripts: DataFrame, max_columns: int = MAX_NAMES) -> DataFrame:
     """All records in one table: gcs_uri, row_no and a column for each quantity, in alphabetical order.
 
-    The scripts, compiled to a map from each file's own names to quantities, are applied to a file's records as one projection. Quantities
+    A quantity is a line of columns that the scripts link; lines of different batches come together by :func:`one_name_each`. The scripts,
+    compiled to a map from each file's own names to quantities, are applied to a file's records as one projection. Quantities
     that were always numbers in the footers become DOUBLE (thousands separators removed, blanks and dashes null), all others are STRING. A
     quantity called gcs_uri or row_no gets the suffix ``_in``.
     More than ``max_columns`` quantities raise ValueError, as the schema has to be known to the driver. Records that two files share
     appear for both.
     """
     roots = materialize(column_roots(footers, scripts), "map")
+    called = one_name_each(footers, scripts, max_columns)
+    if called:
+        roots = roots.withColumn("root", F.coalesce(_called(called)[F.col("root")], F.col("root")))
     kinds = footers.select("gcs_uri", "column_name", F.lower("column_type").rlike(r"^(double|float|decimal|int|bigint|boolean)").alias("number")).distinct()
     schema = roots.join(kinds, ["gcs_uri", "column_name"]).groupBy("root").agg(F.bool_and("number").alias("number")).orderBy("root").limit(max_columns + 1).collect()
     if len(schema) > max_columns:

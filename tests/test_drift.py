@@ -41,7 +41,8 @@ def test_values_overrule_names_and_names_help_without_values():
     cols = lambda n: [("id", "string"), (n, "double")]
     same, other = [{"id": "x", "vol": 5.0}, {"id": "y", "vol": 7.0}], [{"id": "x", "volume": 1.0}, {"id": "y", "volume": 2.0}]
     assert steps(cols("vol"), cols("volume"), same, other) == {("removed", "vol", ""), ("added", "", "volume")}
-    assert steps(cols("vol"), cols("volume")) == {("renamed", "vol", "volume")}
+    assert steps(cols("VOL"), cols("vol_raw")) == {("renamed", "VOL", "vol_raw")}
+    assert steps(cols("VOL"), cols("vol_raw"), [{"id": "x", "VOL": 5.0}, {"id": "y", "VOL": 7.0}], [{"id": "x", "vol_raw": 5.0}, {"id": "y", "vol_raw": 2.0}]) == {("removed", "VOL", ""), ("added", "", "vol_raw")}
     assert steps(cols("abc"), cols("xyz")) == {("removed", "abc", ""), ("added", "", "xyz")}
 
 
@@ -72,14 +73,34 @@ def test_previous_files_across_blocks(spark, monkeypatch):
 
 def test_scripts_and_one_table(spark):
     footer = [("b", "t", 1, "f1", 1, "code", "string"), ("b", "t", 1, "f1", 2, "close", "double"), ("b", "t", 2, "f2", 1, "Code", "string"), ("b", "t", 2, "f2", 2, "last_px", "string"), ("b", "t", 2, "f2", 3, "gcs_uri", "string"), ("b", "t", 3, "f3", 1, "symbol", "int64"), ("b", "t", 3, "f3", 2, "last_px", "string")]
-    rows = [("f1", 1, '{"code": "600000.SH", "close": 1.5}'), ("f1", 2, '{"code": "000002.SZ", "close": null}'), ("f2", 1, '{"Code": "000002.SZ", "last_px": "--", "gcs_uri": "own"}'), ("f2", 2, '{"Code": "000003.SZ", "last_px": "1,002.5"}'), ("f3", 1, '{"symbol": 3, "last_px": "1002.50"}'), ("f3", 2, None), ("f9", 1, '{"z": 1}')]
+    rows = [("f1", 1, '{"code": "600000.SH", "close": 1.5}'), ("f1", 2, '{"code": "000002.SZ", "close": 1.25}'), ("f2", 1, '{"Code": "000002.SZ", "last_px": "1.250", "gcs_uri": "own"}'), ("f2", 2, '{"Code": "000003.SZ", "last_px": "1,002.5"}'), ("f3", 1, '{"symbol": 3, "last_px": "1002.50"}'), ("f3", 2, None), ("f9", 1, '{"z": 1}')]
     f, r = spark.createDataFrame(footer + footer[:1], FOOTER), spark.createDataFrame(rows, ROW)
     scripts = edit_scripts(f, r).cache()
     changes = {(s["gcs_uri"], s["kind"], s["old"], s["new"]) for s in scripts.where("kind <> 'kept'").collect()}
     assert changes == {("f2", "renamed", "code", "Code"), ("f2", "renamed", "close", "last_px"), ("f2", "retyped", "close", "last_px"), ("f2", "added", "", "gcs_uri"), ("f3", "renamed", "Code", "symbol"), ("f3", "retyped", "Code", "symbol"), ("f3", "removed", "gcs_uri", "")}
     out = unify(f, r, scripts)
-    assert out.columns == ["gcs_uri", "row_no", "close", "code", "gcs_uri_in"]
-    assert {tuple(x) for x in out.collect()} == {("f1", 1, "1.5", "600000.SH", None), ("f1", 2, None, "000002.SZ", None), ("f2", 1, "--", "000002.SZ", "own"), ("f2", 2, "1,002.5", "000003.SZ", None), ("f3", 1, "1002.50", "3", None), ("f3", 2, None, None, None), ("f9", 1, None, None, None)}
+    assert out.columns == ["gcs_uri", "row_no", "code", "gcs_uri_in", "last_px"]
+    assert {tuple(x) for x in out.collect()} == {("f1", 1, "600000.SH", None, "1.5"), ("f1", 2, "000002.SZ", None, "1.25"), ("f2", 1, "000002.SZ", "own", "1.250"), ("f2", 2, "000003.SZ", None, "1,002.5"), ("f3", 1, "3", None, "1002.50"), ("f3", 2, None, None, None), ("f9", 1, None, None, None)}
+
+
+def test_batches_of_other_names_come_together_by_proofs(spark):
+    """Batch a shows that px is last; batch b, which begins with last, gets the same column. high and low, side by side in a file, never do."""
+    cols = lambda batch, seq, *names: [(batch, "t", seq, f"{batch}{seq}", i, n, "double") for i, n in enumerate(names)]
+    footer = cols("a", 1, "code", "px", "high") + cols("a", 2, "code", "last", "high") + cols("b", 1, "code", "last", "low") + cols("c", 1, "code", "high", "low") + cols("c", 2, "code", "low")
+    row = lambda file, n, **kw: (file, n, json.dumps(kw))
+    rows = [row("a1", 1, code=1, px=5.5, high=7.25), row("a1", 2, code=2, px=6.5, high=8.25), row("a2", 1, code=2, last=6.5, high=8.25), row("b1", 1, code=3, last=9.5, low=1.5), row("c1", 1, code=4, high=2.5, low=3.5), row("c2", 1, code=4, low=2.5)]
+    f, r = spark.createDataFrame(footer, FOOTER), spark.createDataFrame(rows, ROW)
+    out = unify(f, r, edit_scripts(f, r))
+    assert out.columns == ["gcs_uri", "row_no", "code", "high", "last", "low"]
+    assert sorted(x["last"] for x in out.where("last IS NOT NULL").collect()) == [5.5, 6.5, 6.5, 9.5]
+
+
+def test_proofs_serve_files_without_values(spark):
+    cols = lambda batch, seq, *names: [(batch, "t", seq, f"{batch}{seq}", i, n, "double") for i, n in enumerate(names)]
+    footer = cols("a", 1, "code", "px") + cols("a", 2, "code", "last") + cols("b", 1, "code", "px") + cols("b", 2, "code", "last") + cols("c", 1, "code", "px") + cols("c", 2, "code", "last")
+    rows = [("a1", 1, '{"code": 1, "px": 5.5}'), ("a2", 1, '{"code": 1, "last": 5.5}'), ("b1", 1, '{"code": 7, "px": null}'), ("b2", 1, '{"code": 7, "last": 3.5}'), ("c1", 1, '{"code": 99, "px": 4.5}'), ("c2", 1, '{"code": 99, "last": 8.5}')]
+    got = {(s["gcs_uri"], s["kind"], s["old"], s["new"]) for s in edit_scripts(spark.createDataFrame(footer, FOOTER), spark.createDataFrame(rows, ROW)).where("kind <> 'kept'").collect()}
+    assert got == {("a2", "renamed", "px", "last"), ("b2", "renamed", "px", "last"), ("c2", "removed", "px", ""), ("c2", "added", "", "last")}
 
 
 def test_empty(spark):
