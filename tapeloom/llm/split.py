@@ -43,17 +43,20 @@ class Splitter:
         The text is cut recursively: a span over the limit is cut at its sections, a section over the limit at its paragraphs, then
         lines, sentences, words and at last characters. The spans so got are packed greedily. The next piece begins so far before the
         last one's end that it shares ``overlap`` tokens with it, or the fewest above that for which there is a boundary of a word or,
-        in a word of many tokens, of a character. A limit under 1 raises ValueError; an overlap of half the limit or more is lowered to
-        under half, so that pieces get on. A single character of more tokens than the limit makes a piece of its own.
+        in a word of many tokens, of a character. Any overlap under the limit is honoured as far as pieces still get on: a piece begins
+        after the start of the one before and ends after its end, so where the words at a border leave no room for that, it shares fewer.
+        A limit under 1, an overlap under 0 and one not under the limit raise ValueError. A single character of more tokens than the
+        limit makes a piece of its own.
         """
         if limit < 1:
             raise ValueError("limit must be at least 1")
+        if not 0 <= overlap < limit:
+            raise ValueError("overlap must be at least 0 and under the limit")
         words = self.counter.find.findall(text)
         counts = self.counter.counts(words)
         total = int(counts.sum())
         if total <= limit:
             return [Piece(0, len(text), total, 0)]
-        overlap = max(0, min(overlap, (limit - 1) // 2))
         starts = np.r_[0, np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))]
         tokens = np.r_[0, np.cumsum(counts)]
         atoms = self._atoms(text, starts, tokens, max(1, limit - overlap - (overlap > 0) * min(8, max(0, limit - overlap - 1))))
@@ -209,7 +212,8 @@ def split_texts(df: DataFrame, text: str, limit: str, overlap: str, ranks: str |
     characters), n_tokens, shared (tokens in common with the piece before) and piece_text.
 
     A row with a null ``limit`` has no limit, and null overlap means none. A text within its limit is one piece; so are empty texts, with
-    0 tokens, and null texts, whose piece is null. A limit under 1 counts as 1. Repeated rows are split each; empty input gives no rows.
+    0 tokens, and null texts, whose piece is null. Limits and overlaps that :meth:`Splitter.split` refuses raise ValueError. Repeated rows
+    are split each; empty input gives no rows.
     Columns of ``df`` called as the new ones come out with the suffix ``_in``.
     """
     added = ["piece", "pieces", "start", "end", "n_tokens", "shared", "piece_text"]
@@ -242,7 +246,7 @@ def _pieces(batch: pa.RecordBatch, splitter: Splitter, rest: list[str], added: l
         elif limit is None:
             got = [Piece(0, len(text), splitter.counter.text(text), 0)]
         else:
-            got = splitter.split(text, max(1, limit), overlap or 0)
+            got = splitter.split(text, limit, overlap or 0)
         for number, p in enumerate(got, 1):
             row.append(i)
             for column, value in zip(columns, (number, len(got), p.start, p.end, p.tokens, p.overlap, None if text is None else text[p.start : p.end])):

@@ -63,12 +63,30 @@ def test_cuts_where_the_text_breaks(splitter):
 
 
 def test_limit_must_be_positive(splitter):
-    with pytest.raises(ValueError):
-        splitter.split("a b", 0, 0)
+    for limit, overlap in ((0, 0), (-3, 0), (5, 5), (5, 9), (5, -1)):
+        with pytest.raises(ValueError):
+            splitter.split("a b", limit, overlap)
+
+
+@pytest.mark.parametrize("limit,overlap", [(50, 40), (50, 49), (128, 100), (8, 7), (2, 1)])
+def test_any_overlap_under_the_limit(splitter, limit, overlap):
+    """Up to limit - 1; pieces still cover the text, keep within the limit and get on."""
+    text = "The name fell today and closed lower than before. " * 60
+    pieces = check(splitter, text, limit, overlap)
+    assert sum(overlap - 2 <= p.overlap <= overlap + 8 for p in pieces[1:]) >= 0.9 * (len(pieces) - 1)
+    rnd = random.Random(overlap)
+    for _ in range(20):
+        check(splitter, "".join(rnd.choice(PARTS) for _ in range(rnd.randrange(1, 40))), limit, overlap)
+
+
+def test_packing_is_greedy_in_long_runs(splitter):
+    for overlap in (0, 10):
+        pieces = check(splitter, "=" * 20_000, 50, overlap)
+        assert all(p.tokens >= 49 for p in pieces[:-1])
 
 
 def test_frame(spark):
-    rows = [(1, None, 10, 2), (2, "", 10, 2), (3, "one two", None, None), (4, "one two three four five six", 2, None), (4, "one two three four five six", 2, None), (5, "a b c", 0, 9)]
+    rows = [(1, None, 10, 2), (2, "", 10, 2), (3, "one two", None, None), (4, "one two three four five six", 2, None), (4, "one two three four five six", 2, None), (5, "a b c", 1, 0)]
     df = spark.createDataFrame(rows, "doc_id int, text string, max_tokens int, overlap_tokens int").selectExpr("*", "7 AS piece", "8 AS __split_t")
     out = split_texts(df, "text", "max_tokens", "overlap_tokens")
     assert out.columns == ["doc_id", "piece_in", "__split_t", "piece", "pieces", "start", "end", "n_tokens", "shared", "piece_text"]
