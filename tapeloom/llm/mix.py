@@ -13,12 +13,12 @@ from pyspark.sql import types as T
 
 from tapeloom.llm.split import source_key
 from tapeloom.llm.tokens import Counter, rank_text
-from tapeloom.session import materialize
+from tapeloom.session import materialize, small
 
-#: The classifier is fitted on at most so many documents of each source, those with the least hash of their id.
+#: The classifier is fitted on at most so many documents of each class, those with the least hash of their id.
 FIT_DOCUMENTS = 400
-#: Sources that are told apart: the most frequent ones. Documents of any other stated source belong to no target.
-MAX_SOURCES = 64
+#: The class of all documents whose stated source is no target.
+OTHER = "\u0000other"
 FEATURES, FIT_ROUNDS = 1024, 120
 #: Rounds of the projected gradient, its step, and the change of the errors, as a share of all tokens, at which it stops.
 ROUNDS, STEP, SETTLED = 40, 0.7, 1e-4
@@ -41,7 +41,7 @@ def features(text: str | None) -> np.ndarray:
 
 @dataclass
 class Classifier:
-    """Softmax regression from features to sources; ``prior`` is each source's share of the labelled documents."""
+    """Softmax regression from features to classes; ``prior`` is each class's share of the labelled documents."""
 
     sources: list[str]
     weights: np.ndarray
@@ -66,8 +66,9 @@ class Classifier:
         return Classifier(sources, w, b, prior)
 
     def posterior(self, x: np.ndarray) -> np.ndarray:
-        """Membership in each source, the sources' own frequency taken into account."""
-        return _softmax((x @ self.weights + self.bias).astype(float) + np.log(self.prior))
+        """Membership in each class, the classes' own frequency taken into account; a class without labelled documents has none."""
+        with np.errstate(divide="ignore"):
+            return _softmax((x @ self.weights + self.bias).astype(float) + np.log(self.prior))
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -77,38 +78,37 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Mix:
-    """``documents``: (id, source, n_tokens, rate, copies); ``shares``: the report by source; rounds taken."""
+    """``documents``: (id, source, n_tokens, rate, copies); ``shares``: the report by source; rounds taken; the greatest change of an
+    expected share in the last round, which is over SETTLED if the rounds ran out."""
 
     documents: DataFrame
     shares: DataFrame
     rounds: int
+    residual: float
 
 
-def fit_classifier(df: DataFrame, key: str, text: str, source: str, fit_documents: int = FIT_DOCUMENTS) -> Classifier:
-    """A classifier of ``source`` from ``text``, fitted on at most ``fit_documents`` documents of each of the MAX_SOURCES most frequent ones;
-    documents that share an id count as one in this bound."""
+def fit_classifier(df: DataFrame, key: str, text: str, label: str, classes: list[str], fit_documents: int = FIT_DOCUMENTS) -> Classifier:
+    """A classifier of ``label``, one of ``classes``, from ``text``, fitted on at most ``fit_documents`` documents of each class; documents
+    that share an id count as one in this bound. Rows without label or text are left out."""
     spark = df.sparkSession
-    labelled = df.where(F.col(source).isNotNull() & F.col(text).isNotNull())
-    frequent = labelled.groupBy(source).count().orderBy(F.desc("count"), source).limit(MAX_SOURCES).collect()
-    numbers = {r[0]: r[1] for r in frequent}
-    labelled = labelled.where(F.col(source).isin(list(numbers)))
-    first = Window.partitionBy(source).orderBy(F.xxhash64(key), key)
-    ids = labelled.select(key, source).withColumn("n", F.row_number().over(first)).where(F.col("n") <= fit_documents).select(key).distinct()
-    chosen = ids.limit(MAX_SOURCES * fit_documents).collect()  # bounded by the parameters
+    labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+    numbers = {r[0]: r[1] for r in labelled.groupBy(label).count().collect()}  # a row for each class
+    first = Window.partitionBy(label).orderBy(F.xxhash64(key), key)
+    ids = labelled.select(key, label).withColumn("n", F.row_number().over(first)).where(F.col("n") <= fit_documents).select(key).distinct()
+    chosen = ids.limit(len(classes) * fit_documents).collect()  # bounded by the parameters
     if not chosen:
         return Classifier([], np.zeros((FEATURES, 0)), np.zeros(0), np.zeros(0))
-    picked = labelled.join(F.broadcast(spark.createDataFrame(chosen, ids.schema)), key).select(source, text)
+    picked = labelled.join(F.broadcast(spark.createDataFrame(chosen, ids.schema)), key).select(label, text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([features(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], ["source", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([features(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], ["label", "x"])
 
-    rows = picked.mapInArrow(work, "source STRING, x BINARY").collect()
-    rows.sort(key=lambda r: (r["source"], r["x"]))
-    sources = sorted({r["source"] for r in rows})
-    y = np.array([sources.index(r["source"]) for r in rows])
-    prior = np.array([numbers[s] for s in sources], float)
-    return Classifier.fit(np.stack([np.frombuffer(r["x"], np.float32) for r in rows]), y, sources, prior / prior.sum())
+    rows = picked.mapInArrow(work, "label STRING, x BINARY").collect()
+    rows.sort(key=lambda r: (r["label"], r["x"]))
+    y = np.array([classes.index(r["label"]) for r in rows])
+    prior = np.array([numbers.get(c, 0) for c in classes], float)
+    return Classifier.fit(np.stack([np.frombuffer(r["x"], np.float32) for r in rows]), y, classes, prior / prior.sum())
 
 
 def mix(df: DataFrame, targets: DataFrame, key: str, text: str, source: str, tokens: int | None = None, ranks: str | None = None, fit_documents: int = FIT_DOCUMENTS) -> Mix:
@@ -123,24 +123,27 @@ def mix(df: DataFrame, targets: DataFrame, key: str, text: str, source: str, tok
     document on to the next smaller one of its source, so that a source's drawn tokens are its expected ones but for a small document;
     a source is rounded in shards of about SHARD_DOCUMENTS documents.
 
+    The classes of the classifier are the sources of ``targets``, and one more for all stated sources that are no target, so documents may
+    have any number of sources; ``targets`` is a parameter, of which the driver and every posterior hold a number for each row.
+
     Token counts are of whole texts by a public tokenizer; null and empty texts have 0 tokens, a rate and copies like others. A target
-    without documents stays at 0 and is reported. Null or repeated target sources raise ValueError, as do more than MAX_SOURCES. Repeated
-    documents count each. Empty input gives no documents and shares of 0. Other columns are not read.
+    without documents stays at 0 and is reported. Null or repeated target sources raise ValueError. Repeated documents count each. Empty
+    input gives no documents and shares of 0. Other columns are not read.
     """
     spark = df.sparkSession
-    goal = targets.select(source_key(F.col("source")).alias("source"), "target_weight", "max_repeats").limit(MAX_SOURCES + 1).collect()
+    goal = targets.select(source_key(F.col("source")).alias("source"), "target_weight", "max_repeats").collect()
     names = [r["source"] for r in goal]
-    if None in names or len(set(names)) < len(names) or len(names) > MAX_SOURCES:
-        raise ValueError("target sources must be distinct, not null, and not too many")
+    if None in names or len(set(names)) < len(names):
+        raise ValueError("target sources must be distinct and not null")
     docs = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"), source_key(F.col(f"`{source}`")).alias("source"))
-    classifier = fit_classifier(docs, "id", "text", "source", fit_documents)
-    sources = sorted({*classifier.sources, *names})
+    sources = [*sorted(names), OTHER]
+    label = F.when(F.col("source").isin(names), F.col("source")).when(F.col("source").isNotNull(), OTHER)
+    classifier = fit_classifier(docs.withColumn("label", label), "id", "text", "label", sources, fit_documents)
     counted = materialize(_measure(docs, classifier, rank_text(ranks)), "p9-measured")
 
     slot = {s: i for i, s in enumerate(sources)}
-    one_hot = F.array(*[(F.col("source") == s).cast("double") for s in sources])
-    placed = F.array(*[F.coalesce(F.try_element_at("posterior", F.lit(classifier.sources.index(s) + 1)), F.lit(0.0)) if s in classifier.sources else F.lit(0.0) for s in sources])
-    member = F.when(F.col("source").isNotNull(), one_hot).otherwise(placed) if sources else F.array().cast("array<double>")
+    one_hot = F.array(*[(label == s).cast("double") for s in sources])
+    member = F.when(F.col("source").isNotNull(), one_hot).otherwise(F.coalesce("posterior", F.array(*[F.lit(0.0)] * len(sources))))
     caps = {r["source"]: float(r["max_repeats"] or 0) for r in goal}
     cap = F.lit(0.0)
     for s, c in caps.items():
@@ -159,25 +162,27 @@ def mix(df: DataFrame, targets: DataFrame, key: str, text: str, source: str, tok
     budget = float(tokens) if tokens is not None else float((most[reachable] / weight[reachable]).min()) if reachable.any() else 0.0
 
     errors: list[np.ndarray] = []
+    residual = 0.0
     scale = np.where(have > 0, have, 1.0)
     last = None
     while budget > 0 and len(errors) < ROUNDS:
         got = _expected(units, errors, len(sources))
         error = np.where(reachable | (weight == 0), got - weight * budget, 0.0)
-        if last is not None and np.abs(error - last).max() <= SETTLED * budget:
+        residual = float(np.abs(error - last).max() / budget) if last is not None else np.inf
+        if residual <= SETTLED:
             break
         last = error
         errors.append(STEP * error / scale)
 
     documents = materialize(_copies(counted.select("id", "source", "n_tokens", member.alias("p"), cap.alias("cap")), errors if budget > 0 else None), "p9-documents")
-    drawn = documents.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("tokens"), F.sum(F.col("n_tokens") * F.col("copies")).alias("drawn"), F.max("copies").alias("most_copies"))
+    drawn = documents.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("tokens"), F.sum(F.col("n_tokens") * F.col("copies")).alias("drawn"), F.max("copies").alias("most_copies"), F.max("n_tokens").alias("largest"))
     listed = spark.createDataFrame([(r["source"], float(r["target_weight"] or 0), int(r["max_repeats"] or 0)) for r in goal], "source STRING, target_weight DOUBLE, max_repeats INT")
-    joined = drawn.join(F.broadcast(listed), "source", "full")
+    joined = drawn.join(listed, "source", "full")
     total = documents.agg(F.sum(F.col("n_tokens") * F.col("copies"))).first()[0] or 0
     share: Column = F.round(F.coalesce("drawn", F.lit(0)) / F.lit(float(total or 1)), 6)
-    shares = joined.select("source", "target_weight", "max_repeats", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("documents", "tokens", "drawn", "most_copies")],
+    shares = joined.select("source", "target_weight", "max_repeats", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("documents", "tokens", "drawn", "most_copies", "largest")],
         share.alias("share"), F.round(F.coalesce("drawn", F.lit(0)) / F.lit(budget or 1.0), 6).alias("share_of_target_total"))
-    return Mix(documents, shares, len(errors))
+    return Mix(documents, shares, len(errors), residual)
 
 
 def _rates(p: np.ndarray, cap: np.ndarray, errors: list[np.ndarray]) -> np.ndarray:
@@ -210,7 +215,7 @@ def _expected(units: DataFrame, errors: list[np.ndarray], width: int) -> np.ndar
 def _copies(placed: DataFrame, errors: list[np.ndarray] | None) -> DataFrame:
     """(id, source, n_tokens, rate, copies) of documents (id, source, n_tokens, p, cap)."""
     numbers = placed.groupBy("source").count().select(F.col("source").alias("s"), F.ceil(F.col("count") / SHARD_DOCUMENTS).cast("int").alias("shards"))
-    sharded = placed.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("s")))  # a row for each source
+    sharded = placed.join(small(materialize(numbers, "p9-shards")), F.col("source").eqNullSafe(F.col("s")))
     ready = (
         sharded.withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")))
         .repartition("source", "shard")

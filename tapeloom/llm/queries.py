@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.functions.codes import equity_code, sql_equity_code, yyyymmdd
+from tapeloom.functions.codes import equity_code, sql_equity_code, sql_strip, yyyymmdd
 from tapeloom.llm.encode import encode
 from tapeloom.llm.mix import mix
 from tapeloom.llm.split import source_key, split_texts
@@ -152,6 +152,29 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixed(spark, d).shares
 
 
+#: How far the share of a target may be off for the target to count as reached, where that is more than one document.
+REACHED = 0.01
+
+
+def p9_reached(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each target holds its weight of the target total, to REACHED or one document, and none is drawn more often than allowed."""
+    shares = _mixed(spark, d).shares.where("target_weight IS NOT NULL")
+    off = F.abs(F.col("share_of_target_total") - F.col("target_weight"))
+    one = F.col("largest") * F.try_divide(F.col("share_of_target_total"), F.col("drawn"))
+    reached = off <= F.greatest(F.lit(REACHED), F.coalesce(one, F.lit(0.0)))
+    return shares.select("source", "target_weight", reached.alias("reached"), (F.col("most_copies") <= F.col("max_repeats")).alias("within_cap"))
+
+
+def _sql_source_key(column: str) -> str:
+    return f"replace(lower({sql_strip(column)}), '-', '_')"
+
+
+P9_REACHED_SQL = f"""
+SELECT {_sql_source_key('t.source')} AS source, target_weight, TRUE AS within_cap,
+  EXISTS (SELECT 1 FROM documents d WHERE d.n_chars > 0 AND {_sql_source_key('d.source')} = {_sql_source_key('t.source')}) AS reached
+FROM mix_target t"""
+
+
 def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
     limits = table(spark, d, "split_limit").select(source_key(F.col("source")).alias("source"), "max_tokens", "overlap_tokens")
     docs = table(spark, d, "documents").select("doc_id", source_key(F.col("source")).alias("source"), "text")
@@ -159,8 +182,8 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_survivors": p2_survivors, "p2_rows": p2_rows, "p2_truth": p2_truth, "p2_trusted": p2_trusted, "p2_sources": p2_sources, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_survivors": p2_survivors, "p2_rows": p2_rows, "p2_truth": p2_truth, "p2_trusted": p2_trusted, "p2_sources": p2_sources, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_reached": p9_reached, "p10_pieces": p10_pieces}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p2_found": P2_SQL, "p2_survivors": P2_SURVIVORS_SQL, "p2_rows": P2_ROWS_SQL}
+    return {"p1_found": P1_SQL, "p2_found": P2_SQL, "p2_survivors": P2_SURVIVORS_SQL, "p2_rows": P2_ROWS_SQL, "p9_reached": P9_REACHED_SQL}

@@ -37,6 +37,16 @@ def test_shares_and_caps(spark):
         assert d["rate"] >= 0 and abs(d["copies"] - d["rate"]) <= 1 or d["n_tokens"] < 20
 
 
+def test_any_number_of_sources(spark):
+    """200 stated sources, 70 of them targets: all targets are told apart, the others belong to none."""
+    rnd = random.Random(2)
+    rows = [(i, " ".join(rnd.choice(["rose", "fell", "涨停"]) for _ in range(rnd.randrange(5, 40))), f"s{i % 200:03d}") for i in range(4000)]
+    m = mix(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(f"s{k:03d}", 1 / 70, 1) for k in range(70)], TARGETS), "doc_id", "text", "source")
+    shares = {r["source"]: r for r in m.shares.collect()}
+    assert len(shares) == 200 and all((shares[f"s{k:03d}"]["drawn"] > 0) == (k < 70) for k in range(200))
+    assert all(abs(shares[f"s{k:03d}"]["share"] - 1 / 70) < 0.004 for k in range(70)) and m.residual <= 1e-4
+
+
 def test_asked_total(spark):
     _, shares = run(spark, docs(), [("news", 0.5, 1), ("forum", 0.5, 1)], tokens=4000)
     assert shares["news"]["drawn"] == pytest.approx(2000, rel=0.1) and shares["forum"]["drawn"] == pytest.approx(2000, rel=0.1)
