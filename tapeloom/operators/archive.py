@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions.codes import strip
@@ -83,9 +84,10 @@ def index(blocks: DataFrame) -> DataFrame:
     return e.select("e.path", "e.part", "block_id", "e.offset", "e.length", "e.sha256")
 
 
-def unpack(blocks: DataFrame) -> DataFrame:
+def unpack(blocks: DataFrame, check: bool = True) -> DataFrame:
     """(path, part, data, intact): the original bytes of every entry, cut out of its block, and whether they still have their checksum.
 
+    ``check`` makes an entry that has another checksum an error that names it; without it such entries come out with ``intact`` false.
     Each block is read by itself: no join, no shuffle.
     """
     cut = F.transform(
@@ -94,7 +96,41 @@ def unpack(blocks: DataFrame) -> DataFrame:
             e["path"].alias("path"), e["part"].alias("part"), F.substring(F.col("data"), (e["offset"] + 1).cast("int"), e["length"].cast("int")).alias("data"), e["sha256"].alias("sha256")
         ),
     )
-    return blocks.select(F.explode(cut).alias("e")).select("e.path", "e.part", "e.data", (F.sha2("e.data", 256) == F.col("e.sha256")).alias("intact"))
+    out = blocks.select(F.explode(cut).alias("e")).select("e.path", "e.part", "e.data", (F.sha2("e.data", 256) == F.col("e.sha256")).alias("intact"))
+    if not check:
+        return out
+    broken = F.raise_error(F.concat(F.lit("checksum differs: "), F.coalesce("path", F.lit("null")), F.lit(" part "), F.coalesce(F.col("part").cast("string"), F.lit("null"))))
+    return out.select("path", "part", F.when(F.col("intact"), F.col("data")).otherwise(broken.cast("binary")).alias("data"), "intact")
+
+
+def write_archive(blocks: DataFrame, folder: str) -> None:
+    """Blocks as Parquet files of one block each, in folders of their ``block_id``, and the index beside them, sorted by path."""
+    blocks.repartition("block_id").write.mode("errorifexists").partitionBy("block_id").parquet(f"{folder}/blocks")
+    index(blocks.sparkSession.read.schema(blocks.schema).parquet(f"{folder}/blocks")).repartitionByRange("path").sortWithinPartitions("path", "part").write.mode("errorifexists").parquet(f"{folder}/index")
+
+
+def lookup(spark: SparkSession, folder: str, path: str) -> bytes | None:
+    """The bytes of one file of a written archive; None if it isn't there, checked against its checksums.
+
+    The index is sorted, so few of its row groups are read, and then only the blocks that hold parts of the file, by their folders. The
+    file is put together on the driver, so it has to fit there.
+    """
+    found = spark.read.parquet(f"{folder}/index").where(F.col("path") == path).select("block_id").distinct().collect()
+    if not found:
+        return None
+    blocks = spark.read.option("basePath", f"{folder}/blocks").option("recursiveFileLookup", "false").parquet(*[f"{folder}/blocks/block_id={r[0]}" for r in found])
+    rows = unpack(blocks).where(F.col("path") == path).orderBy("part").select("data").collect()
+    return b"".join(bytes(r[0]) for r in rows)
+
+
+def read_files(spark: SparkSession, folder: str, limit: int = SMALL_BYTES) -> DataFrame:
+    """(path, part, data) of the files under ``limit`` bytes in a folder and the folders below it, each as one part: what :func:`pack`
+    takes. Greater files are left where they are. Scans pass over files of no bytes, so those are taken from the listing, which the
+    driver holds anyway, and come out with empty data."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    listed = spark.createDataFrame([(unquote(name).replace("file:///", "file:/"),) for name in files.inputFiles()], "path STRING")
+    empty = listed.join(files.select("path"), "path", "left_anti").select("path", F.lit(0).cast("bigint").alias("part"), F.lit(b"").alias("data"))
+    return files.where(F.col("length") < limit).select("path", F.lit(0).cast("bigint").alias("part"), F.col("content").alias("data")).unionByName(empty)
 
 
 def record_files(rows: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.functions.codes import blank_to_null, equity_code, sql_equity_code, sql_strip, yyyymmdd
-from tapeloom.operators.archive import SMALL_BYTES, index, pack, plan_blocks, record_files, records, small_files, unpack
+from tapeloom.operators.archive import PART_ROWS, SMALL_BYTES, index, pack, plan_blocks, record_files, records, small_files, unpack
 from tapeloom.operators.bars import daily_amount, lineage
 from tapeloom.operators.drift import edit_scripts, unify
 from tapeloom.operators.known_at import known_at
@@ -159,6 +159,18 @@ def p5_index(spark: SparkSession, d: str) -> DataFrame:
     return index(_archive(spark, d))
 
 
+P5_CHECKSUMS_SQL = f"""
+WITH parts AS (
+  SELECT gcs_uri AS path, CAST(floor(coalesce(row_no, 0) / {PART_ROWS}) AS BIGINT) AS part,
+    string_agg('{{"row_no":' || row_no || ',"payload":' || to_json(payload) || '}}', chr(10) ORDER BY row_no) AS text FROM file_raw_row GROUP BY 1, 2)
+SELECT path, part, CAST(strlen(text) AS BIGINT) AS length, sha256(text) AS sha256 FROM parts"""
+
+
+def p5_checksums(spark: SparkSession, d: str) -> DataFrame:
+    """Length and checksum of every entry of the archive, as its index has them."""
+    return index(_archive(spark, d)).select("path", "part", "length", "sha256")
+
+
 def p5_rows(spark: SparkSession, d: str) -> DataFrame:
     """All records, read back out of the archive blocks."""
     return records(unpack(_archive(spark, d)))
@@ -183,8 +195,8 @@ def p6_unified(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p3_found": p3_found, "p3_scores": p3_scores, "p5_found": p5_found, "p5_index": p5_index, "p5_rows": p5_rows, "p6_found": p6_found, "p6_unified": p6_unified, "p4_found": p4_found, "p7_found": p7_found, "p7_totals": p7_totals}
+    return {"p3_found": p3_found, "p3_scores": p3_scores, "p5_found": p5_found, "p5_index": p5_index, "p5_checksums": p5_checksums, "p5_rows": p5_rows, "p6_found": p6_found, "p6_unified": p6_unified, "p4_found": p4_found, "p7_found": p7_found, "p7_totals": p7_totals}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": P5_SQL, "p5_rows": P5_ROWS_SQL, "p4_found": P4_SQL, "p7_found": P7_SQL, "p7_totals": P7_TOTALS_SQL}
+    return {"p5_found": P5_SQL, "p5_rows": P5_ROWS_SQL, "p5_checksums": P5_CHECKSUMS_SQL, "p4_found": P4_SQL, "p7_found": P7_SQL, "p7_totals": P7_TOTALS_SQL}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,7 +13,7 @@ from tapeloom.functions.windows import log_return, ratio
 from tapeloom.operators import features as ft
 from tapeloom.operators import stats, temporal
 from tapeloom.operators.bars import apply_factors, bars, latest_by_lineage, resample, resample_bars
-from tapeloom.session import materialize, scratch, table
+from tapeloom.session import materialize, scratch_path, table
 from tapeloom.streaming import bars as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,7 +147,7 @@ SELECT user_id, time_bucket(INTERVAL 5 MINUTES, ts) AS start, arg_min(value, row
 HAVING start + INTERVAL 5 MINUTES <= (SELECT max(ts) - INTERVAL 10 MINUTES FROM events WHERE value IS NOT NULL)""")
 def stream_ohlcv(spark: SparkSession, d: str) -> DataFrame:
     """Five-minute bars by Structured Streaming over all files that are there; windows that the watermark has passed are given out."""
-    folder = f"{scratch(spark)}/stream-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "stream")
     source = stream.read_ticks(spark, f"{d}/events.parque[t]", table(spark, d, "events").schema, files_per_trigger=1_000_000)
     bars_ = stream.stream_bars(source.where("value IS NOT NULL").withColumn("ts", F.col("ts").cast("timestamp")), "user_id", "ts", "value", "event_id")
     stream.write_available(bars_, f"{folder}/out", f"{folder}/checkpoint")

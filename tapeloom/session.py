@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,31 +24,40 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session; only where that is unset (local runs, tests) a local one."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session. Where that is unset a local one is made on a local master,
+    as in tests; on any other it would be a folder of its own on each machine, so RuntimeError is raised."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='tapeloom-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
         _WRITTEN.append((spark, folder))
     return folder.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the scratch folder, removed by :func:`release`."""
+    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, name: str = "part") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage like a reliable checkpoint, but runs the plan once only, keeps the columnar form and survives the loss of any
-    executor. The files are removed when the driver ends.
+    executor. The files are removed by :func:`release`, at the latest when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    _WRITTEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-@atexit.register
-def _release() -> None:
-    for spark, path in reversed(_WRITTEN):
+def release(keep: int = 0) -> None:
+    """Remove what was written to the scratch folder, but for the first ``keep`` paths; results that still read it are lost with it."""
+    for spark, path in reversed(_WRITTEN[keep:]):
         if path.startswith("file:/"):
             shutil.rmtree("/" + path[5:].lstrip("/"), ignore_errors=True)
             continue
@@ -56,7 +67,21 @@ def _release() -> None:
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
         except Exception:  # noqa: BLE001 - the session may be gone already
             pass
-    _WRITTEN.clear()
+    del _WRITTEN[keep:]
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """A block at whose end the scratch files of all queries made in it are removed; read or write their results inside."""
+    scratch(spark)
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        release(before)
+
+
+atexit.register(release)
 
 
 def row_bytes(df: DataFrame) -> int:

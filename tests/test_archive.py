@@ -68,3 +68,37 @@ def test_found_files_are_planned(spark, data, monkeypatch):
     monkeypatch.setattr(prepared, "materialize", lambda df, name: kept.setdefault(name, df))
     prepared.p5_found(spark, data)
     assert {"path", "block_id", "offset", "length"} <= set(kept["p5-plan"].columns)
+
+
+def test_files_of_a_folder_come_back_one_by_one(spark, tmp_path):
+    """Real files, nested and of odd names: packed, written, looked up by path; only the blocks of that path are read."""
+    from tapeloom.operators.archive import lookup, read_files, write_archive
+
+    rnd, files = random.Random(4), {}
+    for i in range(60):
+        path = tmp_path / "in" / f"d{i % 7}" / f"file {i} ü.bin"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        files[f"file:{path}"] = rnd.randbytes(rnd.choice([0, 1, 700, 9_000]))
+        path.write_bytes(files[f"file:{path}"])
+    (tmp_path / "in" / "large.bin").write_bytes(b"x" * 50_000)
+    blocks = pack(read_files(spark, f"file://{tmp_path}/in", limit=20_000), block_bytes=30_000)
+    write_archive(blocks, f"file://{tmp_path}/out")
+    rows = spark.read.parquet(f"{tmp_path}/out/index").collect()
+    names = {r["path"] for r in rows}
+    assert names == set(files) and len(rows) == 60 and not any("large" in n for n in names)
+    for name in rnd.sample(sorted(names), 12):
+        assert lookup(spark, f"file://{tmp_path}/out", name) == files[name]
+    assert lookup(spark, f"file://{tmp_path}/out", "none") is None
+
+
+def test_a_broken_entry_is_an_error(spark):
+    from pyspark.sql import functions as F
+
+    blocks = pack(spark.createDataFrame([("a", 0, b"one"), ("b", 0, b"two")], "path string, part bigint, data binary"))
+    spoilt = blocks.withColumn("data", F.expr("cast(replace(cast(data as string), 'two', 'tow') as binary)"))
+    assert {r["path"]: r["intact"] for r in unpack(spoilt, check=False).collect()} == {"a": True, "b": False}
+    try:
+        unpack(spoilt).collect()
+        raise AssertionError("no error")
+    except Exception as e:  # noqa: BLE001
+        assert "checksum differs: b part 0" in str(e)
