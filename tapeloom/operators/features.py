@@ -47,6 +47,17 @@ def daily_features(bars: DataFrame) -> DataFrame:
     return df.drop("__delta", "__gain", "__loss", "__high", "__low", "ma_12", "ma_26")
 
 
+def asset_returns(bars: DataFrame, asset_type: str) -> DataFrame:
+    """(asset_type, asset_code, date, partition_month, close, return_1d, return_5d, return_20d, volatility_20) of bars of one kind of asset."""
+    w = Window.partitionBy("code").orderBy("date")
+    df = bars.select("code", "date", "close", *[log_return(F.col("close"), w, n).alias(f"return_{n}d") for n in (1, 5, 20)])
+    month = (F.year("date") * 100 + F.month("date")).cast("bigint").alias("partition_month")
+    return df.select(
+        F.lit(asset_type).alias("asset_type"), F.col("code").alias("asset_code"), "date", month, "close", "return_1d", "return_5d", "return_20d",
+        F.stddev_samp("return_1d").over(back(w, 20)).alias("volatility_20"),
+    )
+
+
 def sell_risk(features: DataFrame) -> DataFrame:
     """Drawdown from the 20- and 60-row high, expansion of volatility, days in a row with RSI over 70, distance from the 60-row mean."""
     w = Window.partitionBy("code").orderBy("date")

@@ -11,7 +11,7 @@ from tapeloom.functions.names import col, prefix, renamed
 BLOCK_DAYS = 512
 
 
-def known_at(events: DataFrame, attributes: DataFrame, entity: str, event_date: str, known_date: str, latest: Column, block_days: int = BLOCK_DAYS) -> DataFrame:
+def known_at(events: DataFrame, attributes: DataFrame, entity: str, event_date: str, known_date: str, latest: Column, block_days: int = BLOCK_DAYS, how: str = "inner") -> DataFrame:
     """Each event with the attributes of its entity that had become known last on or before the event's date.
 
     Every attribute row becomes a version of its entity: the rows of one entity and ``known_date`` are first reduced to the one with the
@@ -21,8 +21,10 @@ def known_at(events: DataFrame, attributes: DataFrame, entity: str, event_date:
     than the distinct dates of one entity and block, whatever part of all rows an entity has. Wide attributes and full events then meet
     in an equi-join on entity and number, which adaptive execution splits where an entity is skewed.
 
+    ``how``: ``inner``, or ``left`` to keep events that have no version, with nulls.
+
     Nulls: attribute rows without entity or ``known_date`` are ignored; events without entity or date, and events before their entity's
-    first version, are not in the result. Ties in ``latest`` take the row with the greater values in the other columns. Repeated events
+    first version, are not in an inner result. Ties in ``latest`` take the row with the greater values in the other columns. Repeated events
     come out as often as they came in. Empty inputs give no rows. Columns of ``attributes`` that are called as columns of ``events``
     come out with the suffix ``_known``.
     """
@@ -43,7 +45,7 @@ def known_at(events: DataFrame, attributes: DataFrame, entity: str, event_date:
     # events of one entity and date share a number; those before the first version have number 0 and drop out of the join
     moments = numbers.where("__change = 0 AND __v > 0").select("__e", "__t", "__v")
     dated = moments.join(numbered, ["__e", "__v"]).select(F.col("__e").alias(e), F.col("__t").alias(t), F.col("__row").alias(x))
-    joined = events.join(dated, (key == F.col(e)) & (at == F.col(t)))
+    joined = events.join(dated, (key == F.col(e)) & (at == F.col(t)), how)
     return joined.select(*[col(c) for c in events.columns], *[F.col(x).getField(c).alias(names.get(c, c)) for c in wide])
 
 

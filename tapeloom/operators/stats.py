@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions.windows import average_rank, ratio
@@ -15,19 +15,23 @@ def correlation(x: str, y: str) -> Column:
     return ratio(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
 
 
-def pair_stats(bars: DataFrame, days: int = 756, least: int = 120) -> DataFrame:
-    """Statistics of the closes of each two codes (code_x < code_y) on their common dates of the last ``days`` calendar days.
+def pair_stats(features: DataFrame, days: int = 756, least: int = 120) -> DataFrame:
+    """Statistics of each two codes (code_x < code_y) of ``features`` (code, date, close, return_1d) on their common dates of the last
+    ``days`` calendar days: correlation and beta of the daily returns, mean and deviation of the spread of log closes. Rows without a
+    close or a return take no part; pairs of fewer than ``least`` common dates are left out.
 
     A self-join on the date: it is meant for a universe that has been narrowed down (:func:`liquid_codes`), as its output has a row for
-    each pair of codes by definition.
+    each pair of codes by definition. The first day of the span is a scalar subquery of the same plan.
     """
-    last = bars.agg(F.date_sub(F.max("date"), days)).first()[0]
-    recent = bars.where(F.col("date") >= F.lit(last)).select("date", "code", "close")
-    x, y = recent.select("date", F.col("code").alias("code_x"), F.col("close").alias("x")), recent.select("date", F.col("code").alias("code_y"), F.col("close").alias("y"))
-    return x.join(y, (x["date"] == y["date"]) & (F.col("code_x") < F.col("code_y"))).groupBy("code_x", "code_y").agg(
-        F.count(F.lit(1)).alias("n"), correlation("x", "y").alias("correlation"), ratio(F.covar_samp("x", "y"), F.var_samp("y")).alias("beta"),
-        F.avg(F.ln("x") - F.ln("y")).alias("spread_mean"), F.stddev_samp(F.ln("x") - F.ln("y")).alias("spread_std"), F.max(x["date"]).alias("last_date"),
-    ).where(F.col("n") >= least)
+    since = features.agg(F.date_sub(F.max("date"), days)).scalar()
+    recent = features.where((F.col("date") >= since) & F.col("close").isNotNull() & F.col("return_1d").isNotNull()).select("date", "code", "close", "return_1d")
+    side = lambda n: recent.select("date", F.col("code").alias(f"code_{n}"), F.col("close").alias(f"c{n}"), F.col("return_1d").alias(f"r{n}"))
+    spread = F.ln("cx") - F.ln("cy")
+    pairs = side("x").join(side("y"), "date").where("code_x < code_y").groupBy("code_x", "code_y")
+    return pairs.agg(
+        F.count(F.lit(1)).alias("observation_count"), correlation("rx", "ry").alias("return_corr"), ratio(F.covar_samp("rx", "ry"), F.var_samp("ry")).alias("beta_xy"),
+        F.avg(spread).alias("avg_log_spread"), F.stddev_samp(spread).alias("std_log_spread"), F.max("date").alias("latest_date"),
+    ).where(F.col("observation_count") >= least)
 
 
 def liquid_codes(bars: DataFrame, n: int, least_days: int = 5) -> DataFrame:
@@ -36,6 +40,27 @@ def liquid_codes(bars: DataFrame, n: int, least_days: int = 5) -> DataFrame:
     return means.where(F.col("days") >= least_days).orderBy(F.desc("avg_amount"), "code").limit(n)
 
 
+def rank_blend(df: DataFrame, up: dict[str, float], down: dict[str, float], by: str = "date") -> DataFrame:
+    """(code, by, score): the weighted sum of percentile ranks within each ``by``, those of ``down`` from the greatest value.
+
+    Ties have the mean of their ranks. A null counts as 0.5, as does every value of a column that is missing or has one value or none on
+    that date. All columns are laid under each other, so one sort by (date, column, value) ranks them all and a date is spread over as
+    many tasks as it has columns.
+    """
+    weights = {**up, **{c: -w for c, w in down.items()}}
+    have = [c for c in weights if c in df.columns]
+    missing = 0.5 * sum(abs(w) for c, w in weights.items() if c not in have)
+    if not have:
+        return df.select("code", by, F.lit(missing).alias("score"))
+    entry = lambda c: F.struct(F.lit(c).alias("c"), F.lit(abs(weights[c])).alias("w"), F.lit(weights[c] < 0).alias("down"), F.col(c).cast("double").alias("v"))
+    long = df.select("code", by, F.explode(F.array(*[entry(c) for c in have])).alias("e")).select("code", by, "e.*")
+    whole = Window.partitionBy(by, "c")
+    n = F.count("v").over(whole)
+    rank = F.rank().over(whole.orderBy(F.col("v").asc_nulls_last())) + (F.count(F.lit(1)).over(Window.partitionBy(by, "c", "v")) - 1) / 2.0
+    share = F.when(F.col("v").isNull() | (n <= 1), 0.5).otherwise(F.when(F.col("down"), n + 1 - rank).otherwise(rank) / n)
+    return long.select("code", by, (F.col("w") * share).alias("part")).groupBy("code", by).agg((F.sum("part") + F.lit(missing)).alias("score"))
+
+
 def information_coefficients(df: DataFrame, score: str, outcome: str, least: int = 5) -> DataFrame:
     """(date, n, ic, rank_ic): correlation of score and outcome, and of their average ranks, on each date of ``least`` pairs or more."""
     both = df.where(F.col(score).isNotNull() & F.col(outcome).isNotNull()).select("date", F.col(score).cast("double").alias("s"), F.col(outcome).cast("double").alias("o"))
@@ -107,27 +132,41 @@ def pair_kernels(pairs: DataFrame) -> DataFrame:
 
 
 def covariance(returns: DataFrame) -> DataFrame:
-    """(code_x, code_y, cov): sample covariance of returns (code, date, r) of a narrowed universe over common dates, both halves."""
-    x, y = returns.select("date", F.col("code").alias("code_x"), F.col("r").alias("x")), returns.select("date", F.col("code").alias("code_y"), F.col("r").alias("y"))
-    return x.join(y, "date").groupBy("code_x", "code_y").agg(F.covar_samp("x", "y").alias("cov"))
+    """(code_x, code_y, cov): sample covariance of returns (code, date, r) of a narrowed universe over all its dates, both halves.
+
+    A code's missing returns count as its mean, as do those of dates it has no row for; codes without any return are left out.
+    """
+    ok = returns.where("r IS NOT NULL").select("code", "date", "r")
+    means = ok.groupBy("code").agg(F.avg("r").alias("mean"))
+    dates = returns.select("date").distinct().count()
+    centred = ok.join(means, "code").select("code", "date", (F.col("r") - F.col("mean")).alias("d"))  # an imputed mean is a deviation of 0
+    side = lambda n: centred.select("date", F.col("code").alias(f"code_{n}"), F.col("d").alias(f"d{n}"))
+    sums = side("x").join(side("y"), "date").groupBy("code_x", "code_y").agg(F.sum(F.col("dx") * F.col("dy")).alias("s"))
+    return sums.select("code_x", "code_y", (F.col("s") / F.lit(float(max(dates - 1, 1)))).alias("cov"))
 
 
 def shrink(cov: np.ndarray, share: float = 0.1) -> np.ndarray:
     return (1 - share) * cov + share * np.diag(np.diag(cov))
 
 
-def risk_parity(cov: np.ndarray, least: float = 0.0, most: float = 1.0, rounds: int = 100) -> np.ndarray:
-    """Weights of near-equal risk contributions, by damped fixed-point steps, clipped and made to sum to 1."""
-    cov, n = shrink(cov), len(cov)
-    w = np.full(n, 1.0 / n)
+def risk_parity(cov: np.ndarray, least: float = 0.0, most: float = 1.0, rounds: int = 200) -> np.ndarray:
+    """Weights of equal risk contributions, by cyclical coordinate descent on the logarithmic barrier form.
+
+    The minimum of x'Cx / 2 - sum(log x) / n has x_i (Cx)_i = 1/n for every i. Along one coordinate that is a quadratic equation with one
+    positive root. Scaled to sum 1, and brought between the bounds by the nearest weights that sum to 1.
+    """
+    c = shrink(np.asarray(cov, float))
+    n = len(c)
+    own = np.maximum(np.diag(c), 1e-18)
+    x = 1 / np.sqrt(own * n)
     for _ in range(rounds):
-        risk = cov @ w
-        gap = w * risk - (w @ risk) / n
-        if np.linalg.norm(gap) < 1e-8:
+        before = x.copy()
+        for i in range(n):
+            others = float(c[i] @ x) - own[i] * x[i]
+            x[i] = (np.sqrt(others * others + 4 * own[i] / n) - others) / (2 * own[i])
+        if np.abs(x - before).max() <= 1e-12 * x.max():
             break
-        w = np.clip(w - 0.5 * gap / (risk + 1e-8), least, most)
-        w = w / w.sum()
-    return w
+    return _simplex(x / x.sum(), least, most)
 
 
 def min_variance(cov: np.ndarray, least: float = 0.0, most: float = 1.0, rounds: int = 2000) -> np.ndarray:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeloom.operators.known_at import known_at
+
 
 def intervals(statements: DataFrame, entity: str, since: str, period: str, values: list[str]) -> DataFrame:
     """(entity, since, until, period, values): each statement with the half-open interval in which it is the latest one.
@@ -17,31 +19,27 @@ def intervals(statements: DataFrame, entity: str, since: str, period: str, value
 
 
 def interval_join(events: DataFrame, spans: DataFrame, entity: str, at: str, since: str, how: str = "inner", same_day: bool = True) -> DataFrame:
-    """Events with the interval that holds their date: an equi-join on the entity with the range as a residual condition.
+    """Events with the interval that holds their date, by :func:`known_at`: linear in events and intervals, and split in time blocks, so an
+    entity may have any number of either.
 
     ``same_day``: a statement counts from its own day; otherwise an event whose statement is of the same day is left without one (inner:
-    left out), and does not fall back on the one before. Right for entities of few statements; :func:`known_at` is linear for any.
+    left out), and does not fall back on the one before.
     """
-    span = spans.withColumnRenamed(entity, "__e")
-    begins = F.col(at) >= F.col(since)
-    condition = (F.col(entity) == F.col("__e")) & begins & (F.col("until").isNull() | (F.col(at) < F.col("until")))
-    if not same_day:
-        condition = condition & (F.col(at) > F.col(since))
-    return events.join(span, condition, how).drop("__e")
+    own = [c for c in spans.columns if c != entity]
+    joined = known_at(events, spans, entity, at, since, F.col(since), how=how)
+    if same_day:
+        return joined
+    begun = F.col(at) > F.col(since)
+    return joined.where(begun) if how == "inner" else joined.select(*events.columns, *[F.when(begun, F.col(c)).alias(c) for c in own])
 
 
 def last_before(events: DataFrame, known: DataFrame, entity: str, at: str, since: str, value: str, strict: bool = True) -> DataFrame:
-    """Events with the last ``value`` of their entity before their date (or on it, unless ``strict``), by one union and one window.
+    """Events with the last ``value`` of their entity before their date (or on it, unless ``strict``), by :func:`known_at`.
 
-    Null where there is none. Rows of ``known`` of one date take the greatest value.
+    Null where there is none. Rows of ``known`` of one date take the greatest value. ``since`` must be a date.
     """
-    one = known.where(F.col(since).isNotNull()).groupBy(entity, since).agg(F.max(F.struct(F.col(since).alias("since"), F.col(value).alias("value"))).alias("__k"))
-    left = events.select(entity, F.col(at).alias("__t"), F.lit(0 if strict else 1).alias("__o"), F.struct(*events.columns).alias("__row"))
-    right = one.select(entity, F.col(since).alias("__t"), F.lit(1 if strict else 0).alias("__o"), "__k")
-    both = left.unionByName(right, allowMissingColumns=True)
-    w = Window.partitionBy(entity).orderBy("__t", "__o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = both.withColumn("__last", F.last("__k", ignorenulls=True).over(w)).where(F.col("__row").isNotNull())
-    return filled.select("__row.*", F.col("__last.since").alias(since), F.col("__last.value").alias(value))
+    one = known.select(entity, since, value).withColumn("__from", F.date_add(since, 1 if strict else 0))
+    return known_at(events, one, entity, at, "__from", F.col(value), how="left").drop("__from")
 
 
 def next_date(facts: DataFrame, calendar: DataFrame, date: str = "date") -> DataFrame:

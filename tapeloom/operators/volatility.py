@@ -35,19 +35,32 @@ def garch_fit(r: np.ndarray) -> tuple[float, float, np.ndarray]:
     return float(best[0]), float(best[1]), garch_variance(r, *best)
 
 
-def garch_scale(returns: DataFrame, least: int = 30) -> DataFrame:
-    """(code, n, alpha, beta, volatility, scale) of returns (code, date, r): the last conditional volatility of each code, and a position
-    from 1 at the 20 % quantile of its volatilities down to 0.3 at the 80 % quantile. Codes of under ``least`` returns are left out."""
+def position_scale(forecast: float, history: np.ndarray, low: float = 0.2, high: float = 0.8, at_low: float = 1.0, at_high: float = 0.5) -> float:
+    """Position for a forecast volatility: ``at_low`` under the ``low`` percentile of the history, ``at_high`` over the ``high`` one, and on
+    the straight line between."""
+    bounds = np.percentile(history, [100 * low, 100 * high])
+    if forecast > bounds[1]:
+        return at_high
+    if forecast < bounds[0] or bounds[1] == bounds[0]:
+        return at_low
+    return float(np.interp(forecast, bounds, [at_low, at_high]))
+
+
+def garch_scale(returns: DataFrame, least: int = 30, window: int = 60, low: float = 0.2, high: float = 0.8) -> DataFrame:
+    """(code, n, alpha, beta, volatility, scale) of returns (code, date, r): the volatility that the model forecasts for the next row, and
+    the position it allows by :func:`position_scale` against the deviations of 5 rows, the last ``window`` of them; 1 where there are
+    fewer. Codes of under ``least`` returns are left out."""
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         r = pdf.sort_values("date")["r"].dropna().to_numpy(float)
         if len(r) < least or not np.var(r):
             return pdf.iloc[:0].assign(n=0, alpha=0.0, beta=0.0, volatility=0.0, scale=0.0)[["code", "n", "alpha", "beta", "volatility", "scale"]]
         a, b, v = garch_fit(r)
-        s = np.sqrt(v)
-        low, high = np.quantile(s, [0.2, 0.8])
-        scale = float(np.interp(s[-1], [low, high], [1.0, 0.3])) if high > low else 1.0
-        return pd.DataFrame([(pdf["code"].iloc[0], len(r), a, b, float(s[-1]), scale)], columns=["code", "n", "alpha", "beta", "volatility", "scale"])
+        last = float(r[-1] - r.mean())
+        ahead = float(np.sqrt(float(np.var(r)) * (1 - a - b) + a * last * last + b * v[-1]))
+        past = pd.Series(r).rolling(5).std().dropna().to_numpy()
+        scale = position_scale(ahead, past[-window:], low, high) if len(past) >= window else 1.0
+        return pd.DataFrame([(pdf["code"].iloc[0], len(r), a, b, ahead, scale)], columns=["code", "n", "alpha", "beta", "volatility", "scale"])
 
     return returns.select("code", "date", "r").groupBy("code").applyInPandas(work, "code string, n long, alpha double, beta double, volatility double, scale double")
 

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tapeloom.functions import clean
 from tapeloom.functions.codes import equity_code, index_code, sql_equity_code, sql_strip
 from tapeloom.functions.windows import log_return, ratio
+from tapeloom.operators import events as ev
 from tapeloom.operators import features as ft
 from tapeloom.operators import stats, temporal
 from tapeloom.operators.bars import apply_factors, bars, latest_by_lineage, resample, resample_bars
+from tapeloom.sources.store import in_range
 from tapeloom.session import materialize, scratch_path, table
 from tapeloom.streaming import bars as stream
 
@@ -111,12 +113,12 @@ def date_parse_multi(spark: SparkSession, d: str) -> DataFrame:
     return raw.select("o_orderkey", "raw", clean.date(F.col("raw")).alias("parsed")).withColumn("month", clean.month_number(F.col("parsed")))
 
 
-@query("""SELECT l_orderkey, l_linenumber, sum(l_quantity) AS quantity, count(*) AS n FROM lineitem
-WHERE l_shipdate >= DATE '1995-03-15' AND l_shipdate < DATE '1995-06-01' GROUP BY 1, 2""")
+@query(f"""SELECT {sql_equity_code('equity_code')} AS code, date, count(*) AS n, max(close) AS close FROM {KLINE}
+WHERE date BETWEEN DATE '2025-10-20' AND DATE '2025-11-14' AND (partition_month IN (202510, 202511) OR partition_month IS NULL) GROUP BY 1, 2""")
 def month_partition_filter(spark: SparkSession, d: str) -> DataFrame:
-    """A date range with the month predicate beside it, as partition pruning needs it; both reach the scan."""
-    rows = table(spark, d, "lineitem").where("l_shipdate >= TIMESTAMP_NTZ '1995-03-15' AND l_shipdate < TIMESTAMP_NTZ '1995-06-01'")
-    return rows.groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").alias("quantity"), F.count(F.lit(1)).alias("n"))
+    """A date range with the predicate on its months beside it; both reach the scan, and a table laid out by month is pruned by it."""
+    rows = in_range(table(spark, d, KLINE), "20251020", "20251114")
+    return rows.groupBy(equity_code(F.col("equity_code")).alias("code"), "date").agg(F.count(F.lit(1)).alias("n"), F.max("close").alias("close"))
 
 
 # ---- bars --------------------------------------------------------------------------------------------------------------------------
@@ -250,16 +252,41 @@ def ema_macd(spark: SparkSession, d: str) -> DataFrame:
     return rounded(ft.ema_macd(qfq(spark, d)))
 
 
-@query(f"""WITH {sql_bars('qfq', 'q')}, {sql_bars('hfq', 'h')}, {sql_bars('none', 'n')},
-u AS (SELECT 'qfq' AS asset_type, code, date, close FROM q UNION ALL SELECT 'hfq', code, date, close FROM h UNION ALL SELECT 'none', code, date, close FROM n)
-SELECT asset_type, code AS asset_code, date, round(ln(close) - ln(lag(close) OVER (PARTITION BY asset_type, code ORDER BY date)), 6) AS return_1d FROM u
-QUALIFY lag(close) OVER (PARTITION BY asset_type, code ORDER BY date) IS NOT NULL""")
+def _fund_bars(spark: SparkSession, d: str) -> DataFrame:
+    """Daily bars of part types, which stand for funds; price is what a line costs a piece."""
+    lines = table(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity", F.col("l_shipdate").cast("date").alias("date"))
+    priced = lines.join(table(spark, d, "part").select("p_partkey", F.col("p_type").alias("code")), F.col("l_partkey") == F.col("p_partkey")).withColumn("price", F.col("l_extendedprice") / F.col("l_quantity"))
+    return resample(priced, ["code", "date"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "price", "l_quantity").select("code", "date", "close")
+
+
+def _index_bars(spark: SparkSession, d: str) -> DataFrame:
+    """One market-wide series of the mean order, which stands for an index."""
+    return table(spark, d, "orders").groupBy(F.lit("market").alias("code"), F.col("o_orderdate").cast("date").alias("date")).agg(F.round(F.avg("o_totalprice"), 8).alias("close"))
+
+
+def _sql_returns(asset_type: str, bars_: str) -> str:
+    lag = lambda n: f"CASE WHEN close > 0 AND lag(close, {n}) OVER w > 0 THEN ln(close) - ln(lag(close, {n}) OVER w) END AS return_{n}d"
+    return f"""SELECT '{asset_type}' AS asset_type, code AS asset_code, date, year(date) * 100 + month(date) AS partition_month, close, return_1d, return_5d, return_20d,
+    stddev_samp(return_1d) {frame(20)} AS volatility_20 FROM (SELECT code, date, close, {lag(1)}, {lag(5)}, {lag(20)} FROM {bars_} WINDOW w AS ({W_SQL}))"""
+
+
+_ASSETS = f"""{sql_bars('qfq')},
+funds AS (SELECT p_type AS code, CAST(l_shipdate AS DATE) AS date, arg_max(l_extendedprice / l_quantity, row(l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS close FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
+indexes AS (SELECT 'market' AS code, CAST(o_orderdate AS DATE) AS date, round(avg(o_totalprice), 8) AS close FROM orders GROUP BY 2),
+assets AS ({_sql_returns('equity', 'bars')} UNION ALL {_sql_returns('fund', 'funds')} UNION ALL {_sql_returns('index', 'indexes')})"""
+
+
+def _assets(spark: SparkSession, d: str) -> DataFrame:
+    kinds = {"equity": qfq(spark, d).select("code", "date", "close"), "fund": _fund_bars(spark, d), "index": _index_bars(spark, d)}
+    parts = [ft.asset_returns(df, kind) for kind, df in kinds.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(f"""WITH {_ASSETS} SELECT asset_type, asset_code, date, partition_month, round(close, 9) AS close, round(return_1d, 6) AS return_1d, round(return_5d, 6) AS return_5d,
+  round(return_20d, 6) AS return_20d, round(volatility_20, 6) AS volatility_20 FROM assets""")
 def portfolio_asset_returns_union(spark: SparkSession, d: str) -> DataFrame:
-    kline, out = table(spark, d, KLINE), None
-    for kind in ("qfq", "hfq", "none"):
-        one = bars(kline, kind).select(F.lit(kind).alias("asset_type"), F.col("code").alias("asset_code"), "date", r(log_return(F.col("close"), Window.partitionBy("code").orderBy("date"), 1)).alias("return_1d"))
-        out = one if out is None else out.unionByName(one)
-    return out.where("return_1d IS NOT NULL")
+    """Equities, funds and indexes in one table of returns."""
+    return _assets(spark, d).withColumns({"close": r("close", 9)} | {c: r(c) for c in ("return_1d", "return_5d", "return_20d", "volatility_20")})
 
 
 @query(f"""SELECT {sql_equity_code('security_code')} AS code, arg_max(security_name, (source_file, coalesce(source_entry, ''), source_hash)) FILTER (WHERE security_name IS NOT NULL) AS name,
@@ -325,65 +352,94 @@ def next_available_event_date(spark: SparkSession, d: str) -> DataFrame:
     return temporal.next_date(facts, table(spark, d, KLINE).where("date IS NOT NULL").select("date").distinct())
 
 
-_EVENT_PARTS = """
-money AS (SELECT user_id, CAST(ts AS DATE) AS date, sum(CASE WHEN event_type = 'purchase' THEN value ELSE -value END) AS net, count(*) AS money_n FROM events WHERE event_type IN ('purchase', 'signup') GROUP BY 1, 2),
-seats AS (SELECT user_id, CAST(ts AS DATE) AS date, count(DISTINCT props) AS departments, sum(value) AS seat_net FROM events WHERE event_type IN ('click', 'view') GROUP BY 1, 2),
-boards AS (SELECT user_id, CAST(ts AS DATE) AS date, max(value) AS top, count(*) AS boards_n FROM events WHERE event_type = 'error' GROUP BY 1, 2)"""
+_EVENT_FACTS = """
+e AS (SELECT 'u' || user_id AS equity_code, CAST(ts AS DATE) AS date, event_type, value, props, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events),
+money AS (SELECT equity_code, date, sum(CASE WHEN event_type = 'purchase' THEN value ELSE -value END) AS net, sum(value) FILTER (WHERE event_type = 'purchase') AS main, sum(value) FILTER (WHERE value >= 100) AS large
+  FROM e WHERE event_type IN ('purchase', 'signup') GROUP BY 1, 2),
+seats AS (SELECT equity_code, date, sum(value) FILTER (WHERE event_type = 'view') AS buy, sum(value) FILTER (WHERE event_type = 'click') AS sell, sum(CASE WHEN event_type = 'view' THEN value ELSE -value END) AS net, count(*) AS n, count(DISTINCT props) AS departments
+  FROM e WHERE event_type IN ('click', 'view') GROUP BY 1, 2),
+boards AS (SELECT equity_code, date, max(k) AS streak, sum(value) AS main_net, min(props) AS reason FROM e WHERE event_type = 'error' GROUP BY 1, 2),
+spine AS (SELECT equity_code, date FROM money UNION SELECT equity_code, date FROM seats UNION SELECT equity_code, date FROM boards),
+flows AS (SELECT equity_code, date, year(date) * 100 + month(date) AS partition_month, money.net AS net_inflow_amount, main AS main_net_inflow_amount, large AS extra_large_net_inflow_amount, buy AS dragon_tiger_buy_amount,
+  sell AS dragon_tiger_sell_amount, seats.net AS dragon_tiger_net_amount, n AS dragon_tiger_row_count, departments AS dragon_tiger_department_count, boards.date IS NOT NULL AS is_kpl_event, streak AS limit_up_streak, main_net AS kpl_main_net_amount, reason AS limit_up_reason
+  FROM spine LEFT JOIN money USING (equity_code, date) LEFT JOIN seats USING (equity_code, date) LEFT JOIN boards USING (equity_code, date))"""
+
 
+def event_facts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The events as money flow (purchases and signups), seats (views buy, clicks sell) and boards (errors); codes are users."""
+    e = table(spark, d, "events").select(F.concat(F.lit("u"), F.col("user_id")).alias("equity_code"), F.col("ts").cast("date").alias("date"), "event_type", "value", "props", F.get_json_object("props", "$.k").try_cast("double").alias("k"))
+    of = lambda *kinds: e.where(F.col("event_type").isin(*kinds))
+    only = lambda c: F.when(c, F.col("value"))
+    kind, value = F.col("event_type"), F.col("value")
+    money = of("purchase", "signup").select("equity_code", "date", F.when(kind == "purchase", value).otherwise(-value).alias("net_inflow_amount"), only(kind == "purchase").alias("main_net_inflow_amount"), only(value >= 100).alias("extra_large_net_inflow_amount"))
+    seats = of("click", "view").select("equity_code", "date", only(kind == "view").alias("buy_amount"), only(kind == "click").alias("sell_amount"), F.when(kind == "view", value).otherwise(-value).alias("net_amount"), F.col("props").alias("department_name"))
+    boards = of("error").select("equity_code", "date", F.col("k").alias("limit_up_streak"), value.alias("main_net_amount"), F.col("props").alias("limit_up_reason"), F.lit(None).cast("string").alias("tags"), F.lit(None).cast("string").alias("board_names"))
+    return money, seats, boards
 
-def _event_parts(spark: SparkSession, d: str) -> list[DataFrame]:
-    e = table(spark, d, "events").withColumn("date", F.col("ts").cast("date"))
-    of = lambda *kinds: e.where(F.col("event_type").isin(*kinds)).groupBy("user_id", "date")
-    signed = F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(-F.col("value"))
-    return [
-        of("purchase", "signup").agg(F.sum(signed).alias("net"), F.count(F.lit(1)).alias("money_n")),
-        of("click", "view").agg(F.count_distinct("props").alias("departments"), F.sum("value").alias("seat_net")),
-        of("error").agg(F.max("value").alias("top"), F.count(F.lit(1)).alias("boards_n")),
-    ]
 
+_FLOW_AMOUNTS = ["net_inflow_amount", "main_net_inflow_amount", "extra_large_net_inflow_amount", "dragon_tiger_buy_amount", "dragon_tiger_sell_amount", "dragon_tiger_net_amount", "kpl_main_net_amount"]
+_FLOW_OTHERS = ["equity_code", "date", "partition_month", "dragon_tiger_row_count", "dragon_tiger_department_count", "is_kpl_event", "limit_up_streak", "limit_up_reason"]
 
-@query(f"""WITH {_EVENT_PARTS}, keys AS (SELECT user_id, date FROM money UNION SELECT user_id, date FROM seats UNION SELECT user_id, date FROM boards)
-SELECT user_id, date, round(net, 6) AS net, money_n, departments, round(seat_net, 6) AS seat_net, top, boards_n FROM keys LEFT JOIN money USING (user_id, date) LEFT JOIN seats USING (user_id, date) LEFT JOIN boards USING (user_id, date)""")
+
+@query(f"WITH {_EVENT_FACTS} SELECT " + ", ".join([*_FLOW_OTHERS, *[f"round({c}, 6) AS {c}" for c in _FLOW_AMOUNTS]]) + " FROM flows")
 def event_flow_features(spark: SparkSession, d: str) -> DataFrame:
     """Three facts, each reduced to the key first, joined full; the key spine is the union of their keys."""
-    money, seats, boards = _event_parts(spark, d)
-    joined = money.join(seats, ["user_id", "date"], "full").join(boards, ["user_id", "date"], "full")
-    return joined.withColumn("net", r("net")).withColumn("seat_net", r("seat_net"))
+    return ev.event_features(*event_facts(spark, d)).select(*_FLOW_OTHERS, *[r(c).alias(c) for c in _FLOW_AMOUNTS])
 
 
-@query(f"""WITH {_EVENT_PARTS}, keys AS (SELECT user_id, date FROM money UNION SELECT user_id, date FROM seats UNION SELECT user_id, date FROM boards),
-scored AS (SELECT user_id, date, round(coalesce(net, 0) + coalesce(seat_net, 0) / 10000 + 1000 * coalesce(boards_n, 0), 4) AS score FROM keys LEFT JOIN money USING (user_id, date) LEFT JOIN seats USING (user_id, date) LEFT JOIN boards USING (user_id, date))
-SELECT user_id, date, score, row_number() OVER (PARTITION BY date ORDER BY score DESC, user_id) AS score_rank FROM scored QUALIFY score_rank <= 100""")
+@query(f"""WITH {_EVENT_FACTS},
+scored AS (SELECT equity_code, date, round(coalesce(net_inflow_amount, 0) + 0.5 * coalesce(main_net_inflow_amount, 0) + 0.5 * coalesce(extra_large_net_inflow_amount, 0) + coalesce(dragon_tiger_net_amount, 0) / 10000.0
+  + 1000.0 * coalesce(limit_up_streak, 0) + CASE WHEN is_kpl_event THEN 500.0 ELSE 0.0 END, 4) AS score_proxy FROM flows)
+SELECT *, CAST(100 AS BIGINT) AS top_n, score_rank <= 100 AS is_selected, CAST(CASE WHEN score_rank <= 100 THEN 1 ELSE 0 END AS INTEGER) AS signal
+FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY score_proxy DESC, equity_code) AS score_rank FROM scored)""")
 def signal_event_flow(spark: SparkSession, d: str) -> DataFrame:
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    scored = event_flow_features(spark, d).select("user_id", "date", F.round(zero("net") + zero("seat_net") / 10000 + 1000 * zero("boards_n"), 4).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("date").orderBy(F.desc("score"), "user_id"))
-    return scored.withColumn("score_rank", rank.cast("bigint")).where("score_rank <= 100")
+    return ev.event_signal(ev.event_features(*event_facts(spark, d))).select("equity_code", "date", "score_proxy", "score_rank", "top_n", "is_selected", "signal")
 
 
 # ---- pairs, universe ---------------------------------------------------------------------------------------------------------------
 
+#: Codes that stand for the configured universe of pairs, and the dates in common that a pair needs: the tests' calendar is shorter than 120.
+UNIVERSE_CODES, PAIR_DATES = 40, 30
+
 _UNIVERSE = f"""{sql_bars('qfq')},
-universe AS (SELECT code FROM bars GROUP BY code HAVING count(*) >= 5 ORDER BY avg(coalesce(amount, 0)) DESC, code LIMIT 40),
-u AS (SELECT bars.* FROM bars JOIN universe USING (code))"""
+universe AS (SELECT code FROM bars GROUP BY code HAVING count(*) >= 5 ORDER BY avg(coalesce(amount, 0)) DESC, code LIMIT {UNIVERSE_CODES}),
+u AS (SELECT code, date, close, CASE WHEN lag(close) OVER w > 0 THEN ln(close) - ln(lag(close) OVER w) END AS r FROM bars JOIN universe USING (code) WINDOW w AS (PARTITION BY code ORDER BY date))"""
 
 
-@query(f"""WITH {sql_bars('qfq')} SELECT code, round(avg(coalesce(amount, 0)), 2) AS avg_amount, count(*) AS days FROM bars GROUP BY code HAVING count(*) >= 5 ORDER BY avg(coalesce(amount, 0)) DESC, code LIMIT 40""")
+@query(f"""WITH {sql_bars('qfq')} SELECT code, round(avg(coalesce(amount, 0)), 2) AS avg_amount, count(*) AS days FROM bars GROUP BY code HAVING count(*) >= 5 ORDER BY avg(coalesce(amount, 0)) DESC, code LIMIT 500""")
 def liquidity_top_n(spark: SparkSession, d: str) -> DataFrame:
-    return stats.liquid_codes(qfq(spark, d), 40).withColumn("avg_amount", F.round("avg_amount", 2))
+    return stats.liquid_codes(qfq(spark, d), 500).withColumn("avg_amount", F.round("avg_amount", 2))
+
+
+_AS_OF = "DATE '2025-11-28'"
+
+
+@query(f"""WITH {sql_bars('none')}, listed AS (SELECT DISTINCT {sql_equity_code('security_code')} AS code FROM {SECURITY}
+  WHERE (list_date IS NULL OR list_date <= {_AS_OF}) AND (delist_date IS NULL OR delist_date > {_AS_OF}) AND security_type = (SELECT min(security_type) FROM {SECURITY}))
+SELECT code, round(avg(coalesce(amount, 0)), 2) AS avg_amount, count(*) AS days FROM bars SEMI JOIN listed USING (code) WHERE date < {_AS_OF} AND date >= {_AS_OF} - 120
+GROUP BY code HAVING count(*) >= 5 ORDER BY avg(coalesce(amount, 0)) DESC, code LIMIT 500""")
+def universe_at_date(spark: SparkSession, d: str) -> DataFrame:
+    """The most liquid codes strictly before an as-of date, over twice the look-back of 60 days, of those listed then."""
+    day, dim = F.lit("2025-11-28").cast("date"), table(spark, d, SECURITY)
+    kind = dim.agg(F.min("security_type")).scalar()
+    listed = dim.where((F.col("list_date").isNull() | (F.col("list_date") <= day)) & (F.col("delist_date").isNull() | (F.col("delist_date") > day)) & (F.col("security_type") == kind))
+    daily = bars(table(spark, d, KLINE), "none").where((F.col("date") < day) & (F.col("date") >= F.date_sub(day, 120)))
+    inside = daily.join(listed.select(equity_code(F.col("security_code")).alias("code")), "code", "left_semi")
+    return stats.liquid_codes(inside, 500).withColumn("avg_amount", F.round("avg_amount", 2))
 
 
 def _universe(spark: SparkSession, d: str) -> DataFrame:
     daily = materialize(qfq(spark, d), "bars")
-    return daily.join(F.broadcast(stats.liquid_codes(daily, 40).select("code")), "code", "left_semi")  # 40 rows
+    inside = daily.join(F.broadcast(stats.liquid_codes(daily, UNIVERSE_CODES).select("code")), "code", "left_semi")  # UNIVERSE_CODES rows
+    return inside.withColumn("return_1d", log_return(F.col("close"), Window.partitionBy("code").orderBy("date"), 1))
 
 
-@query(f"""WITH {_UNIVERSE}
-SELECT x.code AS code_x, y.code AS code_y, count(*) AS n, round(CASE WHEN isfinite(corr(x.close, y.close)) THEN corr(x.close, y.close) END, 6) AS correlation, round(covar_samp(x.close, y.close) / nullif(var_samp(y.close), 0), 6) AS beta,
-  round(avg(ln(x.close) - ln(y.close)), 6) AS spread_mean, round(stddev_samp(ln(x.close) - ln(y.close)), 6) AS spread_std, max(x.date) AS last_date
-FROM u x JOIN u y ON x.date = y.date AND x.code < y.code GROUP BY 1, 2 HAVING count(*) >= 30""")
+@query(f"""WITH {_UNIVERSE}, b AS (SELECT * FROM u WHERE r IS NOT NULL AND date >= (SELECT max(date) FROM u) - 756)
+SELECT x.code AS code_x, y.code AS code_y, count(*) AS observation_count, round(CASE WHEN isfinite(corr(x.r, y.r)) THEN corr(x.r, y.r) END, 6) AS return_corr, round(covar_samp(x.r, y.r) / nullif(var_samp(y.r), 0), 6) AS beta_xy,
+  round(avg(ln(x.close) - ln(y.close)), 6) AS avg_log_spread, round(stddev_samp(ln(x.close) - ln(y.close)), 6) AS std_log_spread, max(x.date) AS latest_date
+FROM b x JOIN b y ON x.date = y.date AND x.code < y.code GROUP BY 1, 2 HAVING count(*) >= {PAIR_DATES}""")
 def pair_candidate_stats(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(stats.pair_stats(_universe(spark, d), least=30))
+    return rounded(stats.pair_stats(_universe(spark, d), least=PAIR_DATES))
 
 
 @query()
@@ -399,7 +455,7 @@ def risk_parity_weights(spark: SparkSession, d: str) -> DataFrame:
     """Risk parity, least variance and most diversified weights of the most liquid codes; the covariance matrix is 40 x 40."""
     import numpy as np
 
-    returns = _universe(spark, d).select("code", "date", log_return(F.col("close"), Window.partitionBy("code").orderBy("date"), 1).alias("r")).where("r IS NOT NULL")
+    returns = _universe(spark, d).select("code", "date", F.col("return_1d").alias("r"))
     cov = stats.covariance(returns).toPandas().pivot(index="code_x", columns="code_y", values="cov")
     codes, m = list(cov.index), np.nan_to_num(cov.to_numpy(float))
     weights = [f(m, 0.0, 0.2) for f in (stats.risk_parity, stats.min_variance, stats.max_diversification)]
@@ -451,10 +507,15 @@ def signal_regime(spark: SparkSession, d: str) -> DataFrame:
     return _vol(spark, d).select("code", "date", F.when(up, "bull").when(down, "bear").otherwise("sideways").alias("regime"))
 
 
-@query(f"""WITH {FEATURES_SQL} SELECT date, count(DISTINCT code) AS codes, round(avg(return_1d), 6) AS mean_return, round(avg(volatility_20), 6) AS mean_volatility, count(*) FILTER (WHERE volatility_20 > 0.05) AS high_volatility FROM features WHERE return_1d IS NOT NULL GROUP BY date""")
+@query(f"""WITH {_ASSETS} SELECT date, partition_month, asset_type, count(DISTINCT asset_code) AS asset_count, round(avg(return_1d), 6) AS avg_return_1d, round(avg(return_20d), 6) AS avg_return_20d,
+  round(avg(volatility_20), 6) AS avg_volatility_20, count(*) FILTER (WHERE round(volatility_20, 9) > 0.05) AS high_vol_asset_count FROM assets WHERE return_1d IS NOT NULL GROUP BY 1, 2, 3""")
 def risk_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    ok = _features(spark, d).where("return_1d IS NOT NULL")
-    return ok.groupBy("date").agg(F.count_distinct("code").alias("codes"), r(F.avg("return_1d")).alias("mean_return"), r(F.avg("volatility_20")).alias("mean_volatility"), F.count_if(F.col("volatility_20") > 0.05).alias("high_volatility"))
+    """Mean returns and volatility of each kind of asset by date."""
+    ok = _assets(spark, d).where("return_1d IS NOT NULL")
+    return ok.groupBy("date", "partition_month", "asset_type").agg(
+        F.count_distinct("asset_code").alias("asset_count"), *[r(F.avg(c)).alias(f"avg_{c}") for c in ("return_1d", "return_20d", "volatility_20")],
+        F.count_if(F.round("volatility_20", 9) > 0.05).alias("high_vol_asset_count"),
+    )
 
 
 def queries() -> dict[str, Query]:
