@@ -54,6 +54,13 @@ def equity_code(c: Column) -> Column:
     )
 
 
+def strict_code(c: Column, fail: bool = False) -> Column:
+    """:func:`equity_code` of what is a code at all, also one read as a number (600000.0); null, or an error if ``fail``, of anything else."""
+    code = equity_code(F.regexp_replace(c.cast("string"), r"\.0\s*$", ""))
+    wrong = F.raise_error(F.concat(F.lit("no code: "), F.coalesce(c.cast("string"), F.lit("null")))).cast("string") if fail else F.lit(None).cast("string")
+    return F.when(code.rlike(NORMAL_FORM), code).otherwise(wrong)
+
+
 def index_code(c: Column) -> Column:
     """As :func:`equity_code`, for indexes: 399ddd belongs to SZ and 000/930/932/950ddd to SH even where the suffix says otherwise."""
     text = _canonical(c)

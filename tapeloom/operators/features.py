@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeloom.operators.events import event_features, event_ratios
+from tapeloom.operators.temporal import interval_join, next_date
 from tapeloom.functions.windows import back, log_return, ratio, rolling, streak_groups
 
 
@@ -73,6 +75,26 @@ def sell_risk(features: DataFrame) -> DataFrame:
     )
 
 
+def held_positions(bars: DataFrame, days: list[int]) -> DataFrame:
+    """(code, date, held, gain, from_peak): each row as if held for each number of rows: against the open of entry and the high since."""
+    w = Window.partitionBy("code").orderBy("date")
+    held = [F.struct(F.lit(h).alias("held"), F.lag("open", h).over(w).alias("entry"), F.max("high").over(back(w, h + 1)).alias("peak")) for h in days]
+    rows = bars.select("code", "date", "close", F.array(*held).alias("hs")).select("code", "date", "close", F.explode("hs").alias("h")).select("code", "date", "close", "h.*").where("entry > 0 AND peak > 0")
+    return rows.select("code", "date", "held", (F.col("close") / F.col("entry") - 1).alias("gain"), (F.col("close") / F.col("peak") - 1).alias("from_peak"))
+
+
+def rich_wide(daily: DataFrame, statements: DataFrame, money: DataFrame, seats: DataFrame, boards: DataFrame, calendar: DataFrame) -> DataFrame:
+    """``daily`` (equity_code, date, close, amount, ...) with all that was known on each date, a row for each of its rows.
+
+    Statements (equity_code, ann, until, ...) count from the day after they were announced, and a row whose latest one is of its own day
+    has none. Money flow and seats are of the day. Board events come out after the close, so they count on the next date of ``calendar``.
+    """
+    later = next_date(boards, calendar).where("available_date IS NOT NULL").drop("date").withColumnRenamed("available_date", "date")
+    flows = event_features(money, seats, later).drop("partition_month")
+    known = interval_join(daily, statements, "equity_code", "date", "ann", "left", same_day=False)
+    return known.join(flows, ["equity_code", "date"], "left").withColumns(event_ratios())
+
+
 def ema_macd(bars: DataFrame) -> DataFrame:
     """MACD of exponential averages (spans 12, 26, 9, unadjusted): (code, date, macd_diff, macd_signal, macd_hist).
 

@@ -38,3 +38,12 @@ def drawdown_ahead(bars: DataFrame, forward: int = 5, threshold: float = -0.05)
     w = Window.partitionBy("code").orderBy("date").rowsBetween(1, forward)
     worst = ratio(F.min("close").over(w), F.col("close")) - 1
     return bars.select("code", "date", worst.alias("worst")).withColumn("label", (F.col("worst") <= threshold).cast("int"))
+
+
+def approximate_class(values: DataFrame, value: str, top: int = 70, bottom: int = 30, accuracy: int = 10_000) -> DataFrame:
+    """(code, date, value, label): as :func:`cross_section_class`, but the bounds are of a date's hundred approximate quantiles, which merge
+    over tasks in bounded memory, the top counts where a value is at both, and small dates have labels, too. Nulls are left out."""
+    ok = values.where(F.col(value).isNotNull())
+    bounds = ok.groupBy("date").agg(F.percentile_approx(value, [top / 100, bottom / 100], accuracy).alias("__q"))
+    label = F.when(F.col(value) >= F.col("__q")[0], 1).when(F.col(value) <= F.col("__q")[1], 0)
+    return ok.join(bounds, "date").select("code", "date", value, label.cast("int").alias("label"))

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tapeloom.functions.windows import back, ratio
 
 
 def garch_variance(r: np.ndarray, alpha: float, beta: float) -> np.ndarray:
@@ -65,6 +68,17 @@ def garch_scale(returns: DataFrame, least: int = 30, window: int = 60, low: floa
     return returns.select("code", "date", "r").groupBy("code").applyInPandas(work, "code string, n long, alpha double, beta double, volatility double, scale double")
 
 
+def regime_observations(series: DataFrame, window: int = 20) -> DataFrame:
+    """(code, date, momentum, volatility, volume_ratio) of series (code, date, close, amount): mean and deviation of the last ``window``
+    changes of the close, and the amount of the row before over the mean of the ``window`` up to it; null until there are as many."""
+    w = Window.partitionBy("code").orderBy("date")
+    change = ratio(F.col("close"), F.lag("close", 1).over(w)) - 1
+    df = series.select("code", "date", "amount", change.alias("__r")).withColumn("__n", F.count("__r").over(back(w, window)))
+    whole = lambda c: F.when(F.col("__n") >= window, c)
+    before = F.avg("amount").over(w.rowsBetween(-window, -1))
+    return df.select("code", "date", whole(F.avg("__r").over(back(w, window))).alias("momentum"), whole(F.stddev_samp("__r").over(back(w, window))).alias("volatility"), whole(F.lag("amount", 1).over(w) / (before + 1e-8)).alias("volume_ratio"))
+
+
 def hidden_states(x: np.ndarray, states: int = 3, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(most likely path, means, transitions) of a Gaussian hidden Markov model with diagonal covariances, by Baum-Welch from quantile starts.
 

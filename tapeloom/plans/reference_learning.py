@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-from tapeloom.functions.windows import log_return, ratio, share_rank
+from tapeloom.functions.codes import equity_code, sql_equity_code
+from tapeloom.functions.windows import log_return, ratio
 from tapeloom.operators import features as ft
 from tapeloom.operators import labels, metrics, scores, stats, upsert
 from tapeloom.operators.bars import bars
-from tapeloom.operators.temporal import business_days, interval_join, month_ends
-from tapeloom.operators.volatility import garch_scale, hidden_regimes
+from tapeloom.operators.temporal import business_days, interval_join, intervals, month_ends
+from tapeloom.operators.volatility import garch_scale, hidden_regimes, regime_observations
 from tapeloom.plans.reference import FEATURES_SQL, INDICATOR, INTERVALS_SQL, KLINE, SIGNAL, W_SQL, frame, qfq, r, rounded, sql_bars, statements
 from tapeloom.session import materialize, table
 
@@ -69,24 +70,36 @@ def label_optimal_remaining_days(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- scores, regime ----------------------------------------------------------------------------------------------------------------
 
-# Weights of the rank blend, ascending and descending ranks.
-BLEND = {"return_20d": 0.18, "return_5d": 0.12, "macd_hist": 0.10, "volume_ma20_ratio": 0.08}
-BLEND_DOWN = {"std_ratio": 0.06}
-
-
-def _sql_share_rank(c: str) -> str:
-    return f"CASE WHEN {c} IS NOT NULL THEN (rank() OVER (PARTITION BY date ORDER BY {c} NULLS LAST) + (count(*) OVER (PARTITION BY date, {c}) - 1) / 2.0) / nullif(count({c}) OVER (PARTITION BY date), 0) END"
-
-
-@query(f"WITH {FEATURES_SQL}, q AS (SELECT code, date, " + ", ".join(f"round({c}, 9) AS {c}" for c in (*BLEND, *BLEND_DOWN)) + " FROM features) SELECT code, date, round(" + " + ".join(
-    [f"{w} * coalesce({_sql_share_rank(c)}, 0.5)" for c, w in BLEND.items()] + [f"{w} * (1 - coalesce({_sql_share_rank(c)}, 0.5))" for c, w in BLEND_DOWN.items()]
-) + ", 6) AS score FROM q")
+# Weights of the rank blend, of ascending and of descending ranks.
+BLEND = {
+    "return_20d": 0.18, "return_5d": 0.12, "macd_hist": 0.10, "volume_ma20_ratio": 0.08, "roe": 0.08, "gross_margin": 0.06, "net_margin": 0.05, "net_inflow_to_amount": 0.07,
+    "main_net_inflow_to_amount": 0.05, "dragon_tiger_net_to_amount": 0.04, "limit_up_streak": 0.03, "is_kpl_event": 0.02,
+}
+BLEND_DOWN = {"std_ratio": 0.06, "pb": 0.04, "debt_to_assets": 0.02}
+_QUALITY = ["roe", "gross_margin", "net_margin", "debt_to_assets"]
+_ABSENT = ["net_inflow_to_amount", "main_net_inflow_to_amount", "dragon_tiger_net_to_amount", "limit_up_streak", "is_kpl_event"]
+
+
+def _sql_rank(c: str, down: bool) -> str:
+    ties, n = f"(count(*) OVER (PARTITION BY date, {c}) - 1) / 2.0", f"count({c}) OVER (PARTITION BY date)"
+    rank = f"rank() OVER (PARTITION BY date ORDER BY {c} {'DESC' if down else 'ASC'} NULLS LAST)"
+    return f"CASE WHEN {c} IS NULL OR {n} <= 1 THEN 0.5 ELSE ({rank} + {ties}) / {n} END"
+
+
+@query(f"""WITH {FEATURES_SQL}, {sql_bars('none', 'raw')},
+said AS (SELECT code, ann, bps, {', '.join(_QUALITY)}, lead(ann) OVER (PARTITION BY code ORDER BY ann) AS until FROM (
+  SELECT {sql_equity_code('equity_code')} AS code, announcement_date AS ann, bps, {', '.join(_QUALITY)}, row_number() OVER (PARTITION BY {sql_equity_code('equity_code')}, announcement_date
+    ORDER BY report_period DESC NULLS LAST, bps DESC NULLS LAST, {', '.join(f'{c} DESC NULLS LAST' for c in _QUALITY)}) AS rn FROM {INDICATOR} WHERE announcement_date IS NOT NULL) WHERE rn = 1 AND code IS NOT NULL),
+v AS (SELECT b.code, b.date, round(b.close / nullif(s.bps, 0), 9) AS pb, {', '.join('s.' + c for c in _QUALITY)} FROM raw b JOIN said s ON b.code = s.code AND b.date >= s.ann AND (s.until IS NULL OR b.date < s.until)),
+q AS (SELECT code, date, {', '.join(f'round({c}, 9) AS {c}' for c in ('return_20d', 'return_5d', 'macd_hist', 'volume_ma20_ratio', 'std_ratio'))}, pb, {', '.join(_QUALITY)} FROM features LEFT JOIN v USING (code, date))
+SELECT code, date, round(""" + " + ".join([f"{w} * {'0.5' if c in _ABSENT else _sql_rank(c, c in BLEND_DOWN)}" for c, w in (BLEND | BLEND_DOWN).items()]) + ", 6) AS score FROM q")
 def score_rank_blend(spark: SparkSession, d: str) -> DataFrame:
-    """Weighted sum of percentile ranks across each date, ties at their mean rank, missing values in the middle."""
-    q = ft.daily_features(qfq(spark, d)).select("code", "date", *[r(c, 9).alias(c) for c in (*BLEND, *BLEND_DOWN)])
-    rank = lambda c: F.coalesce(share_rank(F.col(c), "date"), F.lit(0.5))
-    parts = [F.lit(w) * rank(c) for c, w in BLEND.items()] + [F.lit(w) * (1 - rank(c)) for c, w in BLEND_DOWN.items()]
-    return q.select("code", "date", r(sum(parts[1:], parts[0])).alias("score"))
+    """All fifteen terms; the five of events, which these tables have for no stock, count in the middle as missing columns do."""
+    rows = table(spark, d, INDICATOR).withColumn("code", equity_code(F.col("equity_code"))).withColumnsRenamed({"announcement_date": "ann", "report_period": "period"})
+    said = intervals(rows, "code", "ann", "period", ["bps", *_QUALITY])
+    value = interval_join(bars(table(spark, d, KLINE), "none"), said, "code", "date", "ann").select("code", "date", r(ratio(F.col("close"), F.col("bps")), 9).alias("pb"), *_QUALITY)
+    q = ft.daily_features(qfq(spark, d)).select("code", "date", *[r(c, 9).alias(c) for c in ("return_20d", "return_5d", "macd_hist", "volume_ma20_ratio", "std_ratio")])
+    return stats.rank_blend(q.join(value, ["code", "date"], "left"), BLEND, BLEND_DOWN).withColumn("score", r("score"))
 
 
 _MARKET = "SELECT CAST(o_orderdate AS DATE) AS date, round(avg(o_totalprice), 8) AS close FROM orders GROUP BY 1"
@@ -167,11 +180,9 @@ def garch_vol_scale(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def hidden_regime_states(spark: SparkSession, d: str) -> DataFrame:
-    """States of a hidden Markov model of momentum and volatility of the market series."""
-    w = Window.partitionBy(F.lit(0)).orderBy("date")
-    m = _market(spark, d).withColumn("r", log_return(F.col("close"), w, 1))
-    obs = m.select(F.lit("market").alias("code"), "date", F.avg("r").over(w.rowsBetween(-19, 0)).alias("momentum"), F.stddev_samp("r").over(w.rowsBetween(-19, 0)).alias("vol"))
-    return hidden_regimes(obs, ["momentum", "vol"])
+    """States of a hidden Markov model of momentum, volatility and volume of the market series."""
+    m = table(spark, d, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(F.avg("o_totalprice").alias("close"), F.sum("o_totalprice").alias("amount"))
+    return hidden_regimes(regime_observations(m.withColumn("code", F.lit("market"))), ["momentum", "volatility", "volume_ratio"])
 
 
 # ---- performance, trades -----------------------------------------------------------------------------------------------------------
@@ -202,7 +213,7 @@ def monthly_return_matrix(spark: SparkSession, d: str) -> DataFrame:
     return rounded(metrics.monthly_returns(_series(spark, d)))
 
 
-_TRADES = """trades AS (SELECT user_id AS code, ts, event_id, CASE WHEN event_type IN ('purchase', 'view', 'signup') THEN 'buy' ELSE 'sell' END AS side, CAST(1 + floor(value) AS DOUBLE) AS qty, round(10 + value / 7, 4) AS price FROM events WHERE value IS NOT NULL AND value >= 0)"""
+_TRADES = """trades AS (SELECT user_id AS code, ts, event_id, CASE WHEN event_type IN ('purchase', 'view', 'signup') THEN 'buy' ELSE 'sell' END AS side, CAST(1 + floor(value) AS DOUBLE) AS qty, round(10 + value / 7, 4) AS price, round((1 + event_id % 5) / 1000.0, 4) AS fee FROM events WHERE value IS NOT NULL AND value >= 0)"""
 
 
 @query(f"""WITH RECURSIVE {_TRADES},
@@ -213,10 +224,16 @@ spans AS (SELECT *, sum(q) OVER (PARTITION BY code, side ORDER BY i) - q AS lo,
 SELECT b.code, least(b.hi, s.hi) - greatest(b.lo, s.lo) AS matched, b.price AS buy_price, s.price AS sell_price, round((least(b.hi, s.hi) - greatest(b.lo, s.lo)) * (s.price - b.price), 6) AS profit
 FROM spans b JOIN spans s ON b.code = s.code AND b.side = 'buy' AND s.side = 'sell' AND b.lo < s.hi AND s.lo < b.hi""")
 def fifo_trade_pairs(spark: SparkSession, d: str) -> DataFrame:
+    pairs = metrics.fifo_pairs(trades(spark, d), "code", ["ts", "event_id"], "side", "qty", "price")
+    return pairs.select("code", "matched", "buy_price", "sell_price", r("profit").alias("profit"))
+
+
+def trades(spark: SparkSession, d: str) -> DataFrame:
+    """The events as trades: (code, ts, event_id, side, qty, price, fee a piece)."""
     e = table(spark, d, "events").where("value IS NOT NULL AND value >= 0")
     side = F.when(F.col("event_type").isin("purchase", "view", "signup"), "buy").otherwise("sell")
-    trades = e.select(F.col("user_id").alias("code"), "ts", "event_id", side.alias("side"), (1 + F.floor("value")).cast("double").alias("qty"), F.round(10 + F.col("value") / 7, 4).alias("price"))
-    return metrics.fifo_pairs(trades, "code", ["ts", "event_id"], "side", "qty", "price").withColumn("profit", r("profit"))
+    fee = F.round((1 + F.col("event_id") % 5) / 1000.0, 4)
+    return e.select(F.col("user_id").alias("code"), "ts", "event_id", side.alias("side"), (1 + F.floor("value")).cast("double").alias("qty"), F.round(10 + F.col("value") / 7, 4).alias("price"), fee.alias("fee"))
 
 
 _IC = f"""{FEATURES_SQL}, s AS (SELECT code, date, round(macd_hist, 9) AS s, round(ln(lead(close, 5) OVER ({W_SQL})) - ln(close), 9) AS o FROM features)"""

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.plans import prepared, reference, reference_learning
+from tapeloom.plans import prepared, reference, reference_learning, reference_store
 
-_MODULES = (prepared, reference, reference_learning)
+_MODULES = (prepared, reference, reference_learning, reference_store)
 FLAGSHIP = "daily_features_technical"
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 import io
-import posixpath
 import zipfile
 from collections.abc import Iterator
 
@@ -157,5 +156,88 @@ def log_rows(lines: DataFrame, marker: str, key: str) -> DataFrame:
     return found.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by("fields", "line_no").alias("fields"))
 
 
-def file_name(path: str) -> str:
-    return posixpath.basename(path)
+def adjust_type(file: str = "source_file", entry: str = "source_entry") -> Column:
+    """qfq, hfq or none, as a row's lineage tells."""
+    text = F.lower(F.concat(F.coalesce(F.col(file), F.lit("")), F.lit("/"), F.coalesce(F.col(entry), F.lit(""))))
+    return F.when(text.rlike("前复权|qfq"), "qfq").when(text.rlike("后复权|hfq"), "hfq").otherwise("none")
+
+
+def classify_path(path: Column, rules: dict[str, list[str]], other: str = "unknown") -> Column:
+    """The first kind of ``rules`` of which the path holds a word; a null path is ``other``."""
+    out = F.lit(other)
+    for kind, words in reversed(rules.items()):
+        held = F.lit(False)
+        for w in words:
+            held = held | F.coalesce(path.contains(w), F.lit(False))
+        out = F.when(held, kind).otherwise(out)
+    return out
+
+
+# The words of a path that tell the length of its bars.
+TIMEFRAMES = {"1w": ["weekly", "周线", "周k"], "1mo": ["monthly", "月线", "月k"], "1d": ["daily", "日线", "日k"]}
+
+
+def timeframe(path: Column) -> Column:
+    return F.nullif(classify_path(F.lower(path), TIMEFRAMES, ""), F.lit(""))
+
+
+def map_fields(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """``df`` with its columns renamed by ``mapping``, but for those whose new name is there already."""
+    taken = set(df.columns)
+    return df.select(*[col(c).alias(mapping[c]) if c in mapping and mapping[c] not in taken else col(c) for c in df.columns])
+
+
+def statement(df: DataFrame, fields: dict[str, list[str]], code: list[str], announced: list[str], period: list[str]) -> DataFrame:
+    """(equity_code, announcement_date, report_period, fields): typed statements from text columns of varying headers.
+
+    Each field is read from the first of its candidate headers that ``df`` has, so that only those columns are scanned; a field without
+    one is null. A statement without an announcement header has null dates rather than its period's, as nobody knew it then. Rows
+    without a code are left out.
+    """
+    def pick(names: list[str]) -> Column:
+        name = clean.first_existing(df.columns, names)
+        return F.lit(None).cast("string") if name is None else col(name).cast("string")
+
+    period_day = clean.loose_date(pick(period))
+    return df.select(
+        equity_code(pick(code)).alias("equity_code"), clean.loose_date(pick(announced)).alias("announcement_date"), F.date_format(period_day, "yyyyMMdd").alias("report_period"),
+        *[clean.number(F.replace(pick(names), F.lit(","), F.lit("")), "double").alias(f) for f, names in fields.items()],
+    ).where("equity_code IS NOT NULL")
+
+
+def create_table(df: DataFrame, folder: str, partition: str | None = "partition_month", cluster: list[str] | None = None, append: bool = False) -> DataFrame:
+    """Write ``df`` as a table of Parquet files, by partition and sorted by ``cluster`` inside, in place of what was there, or after it."""
+    spread = df.repartition(*[c for c in (partition, *(cluster or [])) if c]) if partition or cluster else df
+    ordered = spread.sortWithinPartitions(*[c for c in (partition, *(cluster or [])) if c]) if partition or cluster else spread
+    writer = ordered.write.mode("append" if append else "overwrite").option("compression", "zstd")
+    (writer.partitionBy(partition) if partition else writer).parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
+def load_batch(spark: SparkSession, records: DataFrame, folder: str, chunk: int = 500) -> DataFrame:
+    """Load the pending and failed files of one table's load records (gcs_uri, status) into a folder: the first chunk in place of what was
+    there unless some files are loaded already, the others after it. Returns the records with their new status and error.
+
+    A chunk that fails is marked ``failed`` with its error and tried again by the next call; invalid and loaded files are passed over.
+    File names go over the driver, in chunks, as a load job's list does; their bytes do not.
+    """
+    todo = records.where(~F.col("status").isin("loaded", "invalid")).select("gcs_uri").distinct().orderBy("gcs_uri")
+    first = records.where("status = 'loaded'").isEmpty()
+    done: list[tuple[str, str, str | None]] = []
+    names = todo.toLocalIterator()
+    while some := [r[0] for _, r in zip(range(chunk), names)]:
+        try:
+            spark.read.parquet(*some).write.mode("overwrite" if first else "append").parquet(folder)
+            done += [(n, "loaded", None) for n in some]
+            first = False
+        except Exception as e:  # noqa: BLE001 - kept with the record
+            done += [(n, "failed", str(e)[:500]) for n in some]
+    new = spark.createDataFrame(done, "gcs_uri STRING, __status STRING, __error STRING")
+    kept = [c for c in records.columns if c not in ("status", "error")]
+    return records.join(new, "gcs_uri", "left").select(*kept, F.coalesce("__status", "status").alias("status"), F.col("__error").alias("error"))
+
+
+def audit_table(df: DataFrame, required: list[str], name: str) -> DataFrame:
+    """One row: name, the required columns that are missing, and whether there is any row at all."""
+    missing = [c for c in required if c not in df.columns]
+    return df.limit(1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), F.lit(",".join(missing)).alias("missing"), (F.col("n") == 0).alias("is_empty"))
