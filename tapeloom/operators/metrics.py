@@ -109,8 +109,8 @@ def _carried(df: DataFrame, cut: bool, totals: dict, carry: dict, empty: dict) -
     if not cut:
         return df.withColumns(empty)
     blocks = df.groupBy("__g", "__block").agg(*[c.alias(n) for n, c in totals.items()])
-    side = blocks.select(F.col("__g").alias("__h"), F.col("__block").alias("__b"), *[c.alias(n) for n, c in carry.items()])
-    return df.join(side, F.col("__g").eqNullSafe(F.col("__h")) & (F.col("__block") == F.col("__b")), "left").drop("__h", "__b").withColumns({n: F.coalesce(F.col(n), empty[n]) for n in carry})
+    side = blocks.select(F.col("__g").alias("__of"), F.col("__block").alias("__at"), *[c.alias(n) for n, c in carry.items()])
+    return df.join(side, F.col("__g").eqNullSafe(F.col("__of")) & (F.col("__block") == F.col("__at")), "left").drop("__of", "__at").withColumns({n: F.coalesce(F.col(n), empty[n]) for n in carry})
 
 
 def fifo_pairs(trades: DataFrame, group: str, order: list[str], side: str, quantity: str, price: str, fee: str | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tapeloom.functions.codes import equity_code, sql_equity_code
 from tapeloom.functions.windows import log_return, ratio
 from tapeloom.operators import features as ft
-from tapeloom.operators import labels, metrics, scores, stats, upsert
+from tapeloom.operators import labels, metrics, scores, stats, training, upsert
 from tapeloom.operators.bars import bars
 from tapeloom.operators.temporal import business_days, interval_join, intervals, month_ends
 from tapeloom.operators.volatility import garch_scale, hidden_regimes, regime_observations
@@ -351,27 +351,36 @@ def walk_forward_windows(spark: SparkSession, d: str) -> DataFrame:
     return daily.join(dated, "date").groupBy("train_end").agg(F.count(F.lit(1)).alias("train_rows"), valid.alias("valid_rows"), F.count_distinct("code").alias("codes"))
 
 
-@query()
-def gbt_train_predict(spark: SparkSession, d: str) -> DataFrame:
-    """Boosted trees on technical features for the class of the next 5 rows, split by date; (split, positives, negatives, auc)."""
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
+TREE_FEATURES = ["return_1d", "return_5d", "volume_ma5_ratio", "std_ratio", "rsi_14", "macd_hist", "close_to_high_20d", "close_to_ma20"]
 
+
+def _panel(spark: SparkSession, d: str) -> DataFrame:
     daily = materialize(qfq(spark, d), "bars")
-    cols = ["return_1d", "return_5d", "volume_ma5_ratio", "std_ratio", "rsi_14", "macd_hist", "close_to_high_20d", "close_to_ma20"]
     values = labels.forward_returns(daily, [5]).select("code", "date", F.col("forward_5d").alias("v"))
-    classes = labels.cross_section_class(values, "v").where("label IS NOT NULL").select("code", "date", "label")
-    dates = values.select("date").distinct()
-    cutoff = dates.withColumn("share", F.percent_rank().over(Window.partitionBy(F.lit(0)).orderBy("date"))).where("share >= 0.8").agg(F.min("date")).first()[0]
-    frame = ft.daily_features(daily).join(classes, ["code", "date"]).select("code", "date", F.col("label").cast("double").alias("label"), *[F.coalesce(c, F.lit(0.0)).alias(c) for c in cols])
-    frame = materialize(VectorAssembler(inputCols=cols, outputCol="features").transform(frame).select("date", "label", "features"), "panel")
-    train = frame.where(F.col("date") < F.lit(cutoff))
-    if train.select("label").distinct().count() < 2:
+    classes = labels.cross_section_class(values, "v").select("code", "date", "v", F.col("label").cast("double").alias("label"))
+    return materialize(training.eval_split(ft.daily_features(daily).select("code", "date", *TREE_FEATURES).join(classes, ["code", "date"])), "panel")
+
+
+@query()
+def gbt_train_predict(spark: SparkSession, d: str) -> DataFrame:
+    """Boosted trees on technical features for the class of the next 5 rows, split by date; (split, positives, negatives, auc)."""
+    panel = _panel(spark, d)
+    model = training.train_trees(panel, TREE_FEATURES)
+    if model is None:
         return spark.createDataFrame([], "split STRING, positives BIGINT, negatives BIGINT, auc DOUBLE")
-    model = GBTClassifier(maxIter=10, maxDepth=4, stepSize=0.1, subsamplingRate=0.8, seed=7).fit(train)
-    scored = model.transform(frame).select(F.when(F.col("date") < F.lit(cutoff), "train").otherwise("valid").alias("split"), vector_to_array("probability")[1].alias("p"), F.col("label").cast("int").alias("label"))
-    return rounded(stats.auc_by(scored, "split", "p", "label"))
+    scored = training.predict(model, panel.where("label IS NOT NULL"), TREE_FEATURES).withColumn("split", F.when(F.col("is_eval"), "valid").otherwise("train"))
+    return rounded(stats.auc_by(scored.withColumn("label", F.col("label").cast("int")), "split", "prob_up", "label"))
+
+
+@query()
+def gbt_quality_gates(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the trees pass the gates on the later dates: (auc, rank_ic, passed)."""
+    panel = _panel(spark, d)
+    model = training.train_trees(panel, TREE_FEATURES, parameters=training.TreeParameters(rounds=10))
+    if model is None:
+        return spark.createDataFrame([], "auc DOUBLE, rank_ic DOUBLE, passed BOOLEAN")
+    late = training.predict(model, panel.where("is_eval"), TREE_FEATURES).withColumn("label", F.col("label").cast("int"))
+    return rounded(training.gates(late, "v"))
 
 
 def queries() -> dict:
