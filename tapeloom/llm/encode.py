@@ -234,6 +234,12 @@ class Encoder:
         return self.ids[np.repeat(self.begins[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
 
 
+@lru_cache(maxsize=2)
+def _encoder(text: bytes) -> Encoder:
+    """One encoder for all tasks of a worker, so that what one has learnt serves the next."""
+    return Encoder(text)
+
+
 def _slices(texts: list[str | None]) -> Iterator[list[str]]:
     some: list[str] = []
     size = 0
@@ -264,7 +270,7 @@ def encode(df: DataFrame, text: str, ids: str = "ids", vocabulary: str | None =
     schema = keep_clear(given.drop(given.columns[-1]), [ids]).schema.add(ids, T.ArrayType(T.IntegerType()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = _encoder(shared.value)
         for batch in batches:
             at, last = 0, len(rest)
             for some in _slices(batch.column(last).to_pylist()):

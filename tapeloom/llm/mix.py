@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeloom.llm.split import source_key
-from tapeloom.llm.tokens import Counter, rank_text
+from tapeloom.llm.tokens import counter_of, rank_text
 from tapeloom.session import materialize, small
 
 #: The classifier is fitted on at most so many documents of each class, those with the least hash of their id.
@@ -249,7 +249,7 @@ def _measure(docs: DataFrame, classifier: Classifier, ranks: bytes) -> DataFrame
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text_of_ranks, model = shared.value
-        counter = Counter(text_of_ranks)
+        counter = counter_of(text_of_ranks)
         for batch in batches:
             n, posterior = [], []
             for text, source in zip(batch.column(2), batch.column(1)):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions.names import col, keep_clear, prefix
-from tapeloom.llm.tokens import Counter, rank_text
+from tapeloom.llm.tokens import Counter, counter_of, rank_text
 
 #: Separators from the coarsest to the finest: a text may be cut where a match ends. Words come from the tokenizer's own pattern.
 SECTION = re.compile(r"\n(?=[ \t　]*(?:#{1,6} |[一二三四五六七八九十百]+[、.．]|第[一二三四五六七八九十百0-9]+[章节条部分]|[（(][一二三四五六七八九十]+[)）]|(?:Item|Section|Part|Chapter|SECTION|PART) |[0-9]+(?:\.[0-9]+)*[.)、] ))|\n(?:[ \t　]*\n){2,}")
@@ -228,7 +228,7 @@ def split_texts(df: DataFrame, text: str, limit: str, overlap: str, ranks: str |
     schema = schema.add("piece_text", "string")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = Splitter(Counter(shared_ranks.value))
+        splitter = Splitter(counter_of(shared_ranks.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 yield _pieces(batch.slice(at, 256), splitter, rest, added)

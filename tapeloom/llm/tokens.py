@@ -6,6 +6,7 @@ import base64
 import itertools
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,12 @@ class Counter:
         return total
 
 
+@lru_cache(maxsize=2)
+def counter_of(text: bytes) -> Counter:
+    """One counter for all tasks of a worker."""
+    return Counter(text)
+
+
 def count_tokens(df: DataFrame, text: str, out: str = "n_tokens", ranks: str | None = None) -> DataFrame:
     """``df`` without ``text`` and with ``out``, the number of tokens of each text. Null and empty texts have none; another column called
     as ``out`` gets the suffix ``_in``."""
@@ -72,7 +79,7 @@ def count_tokens(df: DataFrame, text: str, out: str = "n_tokens", ranks: str | N
     rest, schema = kept.columns, kept.schema.add(out, T.LongType())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value)
+        counter = counter_of(shared.value)
         for batch in batches:
             n = [counter.text(t.as_py()) for t in batch.column(len(rest))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], [*rest, out])
