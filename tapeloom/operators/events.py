@@ -43,7 +43,7 @@ def event_score() -> Column:
     return flow + zero("dragon_tiger_net_amount") / 10000.0 + 1000.0 * zero("limit_up_streak") + F.when(F.col("is_kpl_event"), 500.0).otherwise(0.0)
 
 
-def event_signal(features: DataFrame, top_n: int = 100, digits: int = 4) -> DataFrame:
+def event_signal(features: DataFrame, top_n: int = 100, digits: int = 6) -> DataFrame:
     """Every row with score_proxy, its score_rank on the date (ties by code), top_n, is_selected and signal."""
     scored = features.withColumn("score_proxy", F.round(event_score(), digits))
     rank = F.row_number().over(Window.partitionBy("date").orderBy(F.desc("score_proxy"), "equity_code")).cast("bigint")

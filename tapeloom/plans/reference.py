@@ -389,7 +389,7 @@ def event_flow_features(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {_EVENT_FACTS},
 scored AS (SELECT equity_code, date, round(coalesce(net_inflow_amount, 0) + 0.5 * coalesce(main_net_inflow_amount, 0) + 0.5 * coalesce(extra_large_net_inflow_amount, 0) + coalesce(dragon_tiger_net_amount, 0) / 10000.0
-  + 1000.0 * coalesce(limit_up_streak, 0) + CASE WHEN is_kpl_event THEN 500.0 ELSE 0.0 END, 4) AS score_proxy FROM flows)
+  + 1000.0 * coalesce(limit_up_streak, 0) + CASE WHEN is_kpl_event THEN 500.0 ELSE 0.0 END, 6) AS score_proxy FROM flows)
 SELECT *, CAST(100 AS BIGINT) AS top_n, score_rank <= 100 AS is_selected, CAST(CASE WHEN score_rank <= 100 THEN 1 ELSE 0 END AS INTEGER) AS signal
 FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY score_proxy DESC, equity_code) AS score_rank FROM scored)""")
 def signal_event_flow(spark: SparkSession, d: str) -> DataFrame:
