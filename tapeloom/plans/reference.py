@@ -261,7 +261,7 @@ def _fund_bars(spark: SparkSession, d: str) -> DataFrame:
 
 def _index_bars(spark: SparkSession, d: str) -> DataFrame:
     """One market-wide series of the mean order, which stands for an index."""
-    return table(spark, d, "orders").groupBy(F.lit("market").alias("code"), F.col("o_orderdate").cast("date").alias("date")).agg(F.round(F.avg("o_totalprice"), 8).alias("close"))
+    return table(spark, d, "orders").groupBy(F.lit("market").alias("code"), F.col("o_orderdate").cast("date").alias("date")).agg(F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1)), 7).alias("close"))
 
 
 def _sql_returns(asset_type: str, bars_: str) -> str:
@@ -272,7 +272,7 @@ def _sql_returns(asset_type: str, bars_: str) -> str:
 
 _ASSETS = f"""{sql_bars('qfq')},
 funds AS (SELECT p_type AS code, CAST(l_shipdate AS DATE) AS date, arg_max(l_extendedprice / l_quantity, row(l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS close FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
-indexes AS (SELECT 'market' AS code, CAST(o_orderdate AS DATE) AS date, round(avg(o_totalprice), 8) AS close FROM orders GROUP BY 2),
+indexes AS (SELECT 'market' AS code, CAST(o_orderdate AS DATE) AS date, round(CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*), 7) AS close FROM orders GROUP BY 2),
 assets AS ({_sql_returns('equity', 'bars')} UNION ALL {_sql_returns('fund', 'funds')} UNION ALL {_sql_returns('index', 'indexes')})"""
 
 
@@ -282,11 +282,11 @@ def _assets(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query(f"""WITH {_ASSETS} SELECT asset_type, asset_code, date, partition_month, round(close, 9) AS close, round(return_1d, 6) AS return_1d, round(return_5d, 6) AS return_5d,
+@query(f"""WITH {_ASSETS} SELECT asset_type, asset_code, date, partition_month, round(close, 7) AS close, round(return_1d, 6) AS return_1d, round(return_5d, 6) AS return_5d,
   round(return_20d, 6) AS return_20d, round(volatility_20, 6) AS volatility_20 FROM assets""")
 def portfolio_asset_returns_union(spark: SparkSession, d: str) -> DataFrame:
     """Equities, funds and indexes in one table of returns."""
-    return _assets(spark, d).withColumns({"close": r("close", 9)} | {c: r(c) for c in ("return_1d", "return_5d", "return_20d", "volatility_20")})
+    return _assets(spark, d).withColumns({"close": r("close", 7)} | {c: r(c) for c in ("return_1d", "return_5d", "return_20d", "volatility_20")})
 
 
 @query(f"""SELECT {sql_equity_code('security_code')} AS code, arg_max(security_name, (source_file, coalesce(source_entry, ''), source_hash)) FILTER (WHERE security_name IS NOT NULL) AS name,
