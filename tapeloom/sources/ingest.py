@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import posixpath
 import zipfile
 from collections.abc import Iterator
 
@@ -241,3 +242,7 @@ def audit_table(df: DataFrame, required: list[str], name: str) -> DataFrame:
     """One row: name, the required columns that are missing, and whether there is any row at all."""
     missing = [c for c in required if c not in df.columns]
     return df.limit(1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), F.lit(",".join(missing)).alias("missing"), (F.col("n") == 0).alias("is_empty"))
+
+
+def file_name(path: str) -> str:
+    return posixpath.basename(path)
