@@ -131,6 +131,14 @@ def pair_kernels(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("code_x", "code_y").applyInPandas(work, "code_x string, code_y string, n long, slope double, half_life double, adf double, adf_5pct double, kalman_beta double")
 
 
+def select_pairs(pairs: DataFrame, kernels: DataFrame, least_corr: float = 0.8, half_lives: tuple[float, float] = (3.0, 20.0), best: float = 10.0) -> DataFrame:
+    """(code_x, code_y, return_corr, adf, half_life) of :func:`pair_stats` and :func:`pair_kernels` rows that pass all bounds, those of a
+    half-life nearest to ``best`` first, ties by code."""
+    both = pairs.select("code_x", "code_y", "return_corr").join(kernels.select("code_x", "code_y", "adf", "adf_5pct", "half_life"), ["code_x", "code_y"])
+    ok = both.where((F.col("return_corr") >= least_corr) & (F.col("adf") <= F.col("adf_5pct")) & F.col("half_life").between(*half_lives))
+    return ok.orderBy(F.abs(F.col("half_life") - best), "code_x", "code_y").select("code_x", "code_y", "return_corr", "adf", "half_life")
+
+
 def covariance(returns: DataFrame) -> DataFrame:
     """(code_x, code_y, cov): sample covariance of returns (code, date, r) of a narrowed universe over all its dates, both halves.
 

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tapeloom.functions.codes import equity_code, sql_equity_code, strict_code
 from tapeloom.functions.windows import ratio
 from tapeloom.operators import features as ft
-from tapeloom.operators import labels, metrics, temporal
+from tapeloom.operators import labels, metrics, stats, temporal
 from tapeloom.operators.bars import bars
-from tapeloom.plans.reference import _EVENT_FACTS, FEATURES_SQL, INDICATOR, INTERVALS_SQL, KLINE, LINEAGE, SECURITY, SIGNAL, event_facts, qfq, r, rounded, sql_bars, statements
+from tapeloom.operators.fundamental import known_statements
+from tapeloom.plans.reference import _EVENT_FACTS, FEATURES_SQL, INDICATOR, INTERVALS_SQL, KLINE, LINEAGE, SECURITY, SIGNAL, event_facts, pair_candidate_stats, pair_kernels, qfq, r, rounded, sql_bars, statements
 from tapeloom.plans.reference_learning import _MARKET, _market, _TRADES, trades
 from tapeloom.session import table
 from tapeloom.sources.ingest import adjust_type, classify_path
@@ -108,6 +109,35 @@ def store_feature_history(spark: SparkSession, d: str) -> DataFrame:
     return rounded(labelled(rows, "20251001", "20251114").select("code", "date", *_HISTORY, "pe_basic", "pb", "roe", "label_return"))
 
 
+_KINDS = {"income": ("eps_basic", ["eps_basic", "net_margin"]), "balance": ("bps", ["bps", "current_ratio"]), "indicator": ("roe", ["roe", "gross_margin"])}
+
+
+def _sql_kind(kind: str, has: str, values: list[str]) -> str:
+    names, order = ", ".join(values), ", ".join(f"{v} DESC NULLS LAST" for v in values)
+    return f"""{kind} AS (SELECT code, ann, {names}, lead(ann) OVER (PARTITION BY code ORDER BY ann) AS until FROM (SELECT {sql_equity_code('equity_code')} AS code, announcement_date AS ann, {names},
+  row_number() OVER (PARTITION BY {sql_equity_code('equity_code')}, announcement_date ORDER BY report_period DESC NULLS LAST, {order}) AS rn FROM {INDICATOR} WHERE announcement_date IS NOT NULL AND {has} IS NOT NULL) WHERE rn = 1 AND code IS NOT NULL)"""
+
+
+@query(f"""WITH {sql_bars('none')}, """ + ", ".join(_sql_kind(k, *v) for k, v in _KINDS.items()) + """
+SELECT b.code, b.date, """ + ", ".join(f"{k}.ann AS {k}_date" for k in _KINDS) + """, round(b.close / nullif(eps_basic, 0), 6) AS pe_basic, round(b.close / nullif(bps, 0), 6) AS pb, round(roe, 6) AS roe, round(current_ratio, 6) AS current_ratio
+FROM bars b """ + " ".join(f"LEFT JOIN {k} ON b.code = {k}.code AND b.date >= {k}.ann AND ({k}.until IS NULL OR b.date < {k}.until)" for k in _KINDS) + """
+WHERE income.ann IS NOT NULL OR balance.ann IS NOT NULL OR indicator.ann IS NOT NULL""")
+def fundamental_three_way(spark: SparkSession, d: str) -> DataFrame:
+    """Prices with income, balance and indicator statements, each the latest known; the three are views of one table here."""
+    rows = table(spark, d, INDICATOR).select(equity_code(F.col("equity_code")).alias("code"), "announcement_date", "report_period", *dict.fromkeys(c for _, values in _KINDS.values() for c in values))
+    kinds = {k: (rows.where(F.col(has).isNotNull()), values) for k, (has, values) in _KINDS.items()}
+    known = known_statements(bars(table(spark, d, KLINE), "none").select("code", "date", "close"), kinds, "code", "date", "announcement_date", "report_period")
+    out = known.select("code", "date", *[f"{k}_date" for k in _KINDS], ratio(F.col("close"), F.col("eps_basic")).alias("pe_basic"), ratio(F.col("close"), F.col("bps")).alias("pb"), "roe", "current_ratio")
+    return rounded(out)
+
+
+@query()
+def pair_selection(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs that move together and come back: correlation of 0.8, a unit-root statistic under its 5 % bound, a half-life of 3 to 20 rows;
+    those nearest to a half-life of 10 first."""
+    return stats.select_pairs(pair_candidate_stats(spark, d), pair_kernels(spark, d))
+
+
 # ---- cleaning ----------------------------------------------------------------------------------------------------------------------
 
 

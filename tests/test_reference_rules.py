@@ -216,3 +216,23 @@ def test_trees_and_gates(spark):
     assert training.train_trees(panel.withColumn("label", F.lit(1.0)), ["x"]) is None
     with pytest.raises(ValueError):
         training.eval_split(panel.drop("is_eval").where("date < '2024-01-04'"))
+
+
+def test_statement_ratios_and_three_ways(spark):
+    from tapeloom.operators.fundamental import known_statements, statement_ratios
+
+    cols = {"close": 10.0, "eps_basic": 0.5, "bps": 4.0, "total_share": 100.0, "total_revenue": 200.0, "operating_cost": 150.0, "parent_net_profit": 20.0, "total_liabilities": 30.0, "total_assets": 120.0, "current_assets": 9.0, "current_liabilities": 0.0}
+    row = spark.createDataFrame([tuple(cols.values())], ", ".join(f"{c} double" for c in cols)).select(*[c.alias(n) for n, c in statement_ratios().items()]).first()
+    assert tuple(row) == (20.0, 2.5, 1000.0, 0.25, 0.1, 0.25, None, pytest.approx(200 / 120))
+    day = lambda n: D(2024, 1, n)
+    prices = spark.createDataFrame([("a", day(n), 1.0) for n in (1, 3, 5)] + [("b", day(3), 1.0)], "code string, date date, close double")
+    income = spark.createDataFrame([("a", day(3), "2", 7.0), ("a", day(3), "1", 6.0), ("a", None, "3", 9.0)], "code string, ann date, period string, x double")
+    balance = spark.createDataFrame([("a", day(5), "1", 4.0)], "code string, ann date, period string, y double")
+    got = known_statements(prices, {"income": (income, ["x"]), "balance": (balance, ["y"])}, "code", "date", "ann", "period")
+    assert sorted((r["date"].day, r["income_date"], r["x"], r["balance_date"], r["y"]) for r in got.collect()) == [(3, day(3), 7.0, None, None), (5, day(3), 7.0, day(5), 4.0)]
+
+
+def test_pairs_are_selected_in_order(spark):
+    pairs = spark.createDataFrame([("a", "b", 0.9), ("a", "c", 0.85), ("a", "d", 0.5), ("b", "c", 0.95), ("b", "d", 0.9)], "code_x string, code_y string, return_corr double")
+    kernels = spark.createDataFrame([("a", "b", -4.0, -3.4, 18.0), ("a", "c", -4.0, -3.4, 9.0), ("a", "d", -5.0, -3.4, 10.0), ("b", "c", -3.0, -3.4, 10.0), ("b", "d", -4.0, -3.4, 30.0)], "code_x string, code_y string, adf double, adf_5pct double, half_life double")
+    assert [(r["code_x"], r["code_y"]) for r in stats.select_pairs(pairs, kernels).collect()] == [("a", "c"), ("a", "b")]
