@@ -51,6 +51,11 @@ def qfq(spark: SparkSession, d: str) -> DataFrame:
     return bars(table(spark, d, KLINE), "qfq")
 
 
+def unadjusted(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Unadjusted bars, written once: joins by version numbers read their events in more than one branch."""
+    return materialize(bars(table(spark, d, KLINE), "none").select("code", "date", *columns), "bars")
+
+
 LINEAGE = "source_file DESC NULLS LAST, source_entry DESC NULLS LAST, source_hash DESC NULLS LAST"
 
 
@@ -326,14 +331,14 @@ def statements(spark: SparkSession, d: str) -> DataFrame:
 SELECT b.code, b.date, s.ann, s.period, round(b.close / nullif(s.eps_basic, 0), 6) AS pe, round(b.close / nullif(s.bps, 0), 6) AS pb
 FROM bars b JOIN statements s ON b.code = s.code AND b.date >= s.ann AND (s.until IS NULL OR b.date < s.until)""")
 def asof_valuation_inner(spark: SparkSession, d: str) -> DataFrame:
-    joined = temporal.interval_join(bars(table(spark, d, KLINE), "none"), statements(spark, d), "code", "date", "ann")
+    joined = temporal.interval_join(unadjusted(spark, d, "close"), statements(spark, d), "code", "date", "ann")
     return joined.select("code", "date", "ann", "period", r(ratio(F.col("close"), F.col("eps_basic"))).alias("pe"), r(ratio(F.col("close"), F.col("bps"))).alias("pb"))
 
 
 @query(f"""WITH {sql_bars('none')}, {INTERVALS_SQL}
 SELECT b.code, b.date, s.ann, round(s.roe, 6) AS roe FROM bars b LEFT JOIN statements s ON b.code = s.code AND b.date > s.ann AND (s.until IS NULL OR b.date < s.until)""")
 def asof_fundamental_left_strict(spark: SparkSession, d: str) -> DataFrame:
-    joined = temporal.interval_join(bars(table(spark, d, KLINE), "none"), statements(spark, d), "code", "date", "ann", "left", same_day=False)
+    joined = temporal.interval_join(unadjusted(spark, d), statements(spark, d), "code", "date", "ann", "left", same_day=False)
     return joined.select("code", "date", "ann", r("roe").alias("roe"))
 
 
@@ -341,8 +346,7 @@ def asof_fundamental_left_strict(spark: SparkSession, d: str) -> DataFrame:
 SELECT b.code, b.date, s.ann, round(s.roe, 6) AS roe FROM bars b ASOF LEFT JOIN s ON b.code = s.code AND b.date > s.ann""")
 def asof_last_before(spark: SparkSession, d: str) -> DataFrame:
     known = table(spark, d, INDICATOR).select(equity_code(F.col("equity_code")).alias("code"), F.col("announcement_date").alias("ann"), "roe")
-    events = bars(table(spark, d, KLINE), "none").select("code", "date")
-    return temporal.last_before(events, known, "code", "date", "ann", "roe").withColumn("roe", r("roe"))
+    return temporal.last_before(unadjusted(spark, d), known, "code", "date", "ann", "roe").withColumn("roe", r("roe"))
 
 
 @query(f"""WITH cal AS (SELECT DISTINCT date FROM {KLINE} WHERE date IS NOT NULL), facts AS (SELECT DISTINCT {sql_equity_code('equity_code')} AS code, announcement_date AS date FROM {INDICATOR} WHERE announcement_date IS NOT NULL)

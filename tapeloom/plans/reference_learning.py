@@ -10,10 +10,9 @@ from tapeloom.functions.codes import equity_code, sql_equity_code
 from tapeloom.functions.windows import log_return, ratio
 from tapeloom.operators import features as ft
 from tapeloom.operators import labels, metrics, scores, stats, training, upsert
-from tapeloom.operators.bars import bars
 from tapeloom.operators.temporal import business_days, interval_join, intervals, month_ends
 from tapeloom.operators.volatility import garch_scale, hidden_regimes, regime_observations
-from tapeloom.plans.reference import FEATURES_SQL, INDICATOR, INTERVALS_SQL, KLINE, SIGNAL, W_SQL, frame, qfq, r, rounded, sql_bars, statements
+from tapeloom.plans.reference import FEATURES_SQL, INDICATOR, INTERVALS_SQL, KLINE, SIGNAL, W_SQL, frame, qfq, r, rounded, sql_bars, statements, unadjusted
 from tapeloom.session import materialize, table
 
 QUERIES: dict = {}
@@ -97,7 +96,7 @@ def score_rank_blend(spark: SparkSession, d: str) -> DataFrame:
     """All fifteen terms; the five of events, which these tables have for no stock, count in the middle as missing columns do."""
     rows = table(spark, d, INDICATOR).withColumn("code", equity_code(F.col("equity_code"))).withColumnsRenamed({"announcement_date": "ann", "report_period": "period"})
     said = intervals(rows, "code", "ann", "period", ["bps", *_QUALITY])
-    value = interval_join(bars(table(spark, d, KLINE), "none"), said, "code", "date", "ann").select("code", "date", r(ratio(F.col("close"), F.col("bps")), 9).alias("pb"), *_QUALITY)
+    value = interval_join(unadjusted(spark, d, "close"), said, "code", "date", "ann").select("code", "date", r(ratio(F.col("close"), F.col("bps")), 9).alias("pb"), *_QUALITY)
     q = ft.daily_features(qfq(spark, d)).select("code", "date", *[r(c, 9).alias(c) for c in ("return_20d", "return_5d", "macd_hist", "volume_ma20_ratio", "std_ratio")])
     return stats.rank_blend(q.join(value, ["code", "date"], "left"), BLEND, BLEND_DOWN).withColumn("score", r("score"))
 
@@ -163,12 +162,12 @@ def remaining_days_bridge(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {FEATURES_SQL}, {sql_bars('none', 'raw')}, {INTERVALS_SQL},
 v AS (SELECT b.code, b.date, b.close / nullif(s.eps_basic, 0) AS pe, b.close / nullif(s.bps, 0) AS pb, s.roe FROM raw b JOIN statements s ON b.code = s.code AND b.date >= s.ann AND (s.until IS NULL OR b.date < s.until))
 SELECT code, date, round({_BASE} + CASE WHEN pe > 0 AND pe < 30 THEN 0.5 / (greatest(pe, 1) + 1) ELSE 0 END + CASE WHEN pb > 0 AND pb < 5 THEN 0.3 / (greatest(pb, 0.5) + 1) ELSE 0 END
-  + CASE WHEN roe IS NULL THEN 0 ELSE 0.5 * greatest(-30, least(30, roe)) / 100 END, 6) AS score FROM features LEFT JOIN v USING (code, date)""")
+  + CASE WHEN roe IS NULL THEN 0 ELSE 0.5 * greatest(-30, least(30, roe)) / 100 END, 9) AS score FROM features LEFT JOIN v USING (code, date)""")
 def score_rich(spark: SparkSession, d: str) -> DataFrame:
     """Technical and fundamental score; statements count from their own day."""
-    joined = interval_join(bars(table(spark, d, KLINE), "none"), statements(spark, d), "code", "date", "ann")
+    joined = interval_join(unadjusted(spark, d, "close"), statements(spark, d), "code", "date", "ann")
     value = joined.select("code", "date", ratio(F.col("close"), F.col("eps_basic")).alias("pe"), ratio(F.col("close"), F.col("bps")).alias("pb"), "roe")
-    return ft.daily_features(qfq(spark, d)).join(value, ["code", "date"], "left").select("code", "date", r(scores.rich_score()).alias("score"))
+    return ft.daily_features(qfq(spark, d)).join(value, ["code", "date"], "left").select("code", "date", r(scores.rich_score(), 9).alias("score"))
 
 
 @query()

@@ -9,9 +9,8 @@ from tapeloom.functions.codes import equity_code, sql_equity_code, strict_code
 from tapeloom.functions.windows import ratio
 from tapeloom.operators import features as ft
 from tapeloom.operators import labels, metrics, stats, temporal
-from tapeloom.operators.bars import bars
 from tapeloom.operators.fundamental import known_statements
-from tapeloom.plans.reference import _EVENT_FACTS, FEATURES_SQL, INDICATOR, INTERVALS_SQL, KLINE, LINEAGE, SECURITY, SIGNAL, event_facts, pair_candidate_stats, pair_kernels, qfq, r, rounded, sql_bars, statements
+from tapeloom.plans.reference import _EVENT_FACTS, FEATURES_SQL, INDICATOR, INTERVALS_SQL, KLINE, LINEAGE, SECURITY, SIGNAL, event_facts, pair_candidate_stats, pair_kernels, qfq, r, rounded, sql_bars, statements, unadjusted
 from tapeloom.plans.reference_learning import _MARKET, _market, _TRADES, trades
 from tapeloom.session import table
 from tapeloom.sources.ingest import adjust_type, classify_path
@@ -92,7 +91,7 @@ _FUND = f"""fund AS (SELECT b.code, b.date, b.close / nullif(s.eps_basic, 0) AS
 
 
 def _fundamental(spark: SparkSession, d: str) -> DataFrame:
-    joined = temporal.interval_join(bars(table(spark, d, KLINE), "none"), statements(spark, d), "code", "date", "ann")
+    joined = temporal.interval_join(unadjusted(spark, d, "close"), statements(spark, d), "code", "date", "ann")
     return joined.select("code", "date", ratio(F.col("close"), F.col("eps_basic")).alias("pe_basic"), ratio(F.col("close"), F.col("bps")).alias("pb"), "roe")
 
 
@@ -126,7 +125,7 @@ def fundamental_three_way(spark: SparkSession, d: str) -> DataFrame:
     """Prices with income, balance and indicator statements, each the latest known; the three are views of one table here."""
     rows = table(spark, d, INDICATOR).select(equity_code(F.col("equity_code")).alias("code"), "announcement_date", "report_period", *dict.fromkeys(c for _, values in _KINDS.values() for c in values))
     kinds = {k: (rows.where(F.col(has).isNotNull()), values) for k, (has, values) in _KINDS.items()}
-    known = known_statements(bars(table(spark, d, KLINE), "none").select("code", "date", "close"), kinds, "code", "date", "announcement_date", "report_period")
+    known = known_statements(unadjusted(spark, d, "close"), kinds, "code", "date", "announcement_date", "report_period")
     out = known.select("code", "date", *[f"{k}_date" for k in _KINDS], ratio(F.col("close"), F.col("eps_basic")).alias("pe_basic"), ratio(F.col("close"), F.col("bps")).alias("pb"), "roe", "current_ratio")
     return rounded(out)
 
