@@ -55,3 +55,14 @@ def test_planted_source_qualities_come_out(spark, tmp_path):
     # where the two good channels differ, 6 % of all, both values may be held true
     assert sum(truth) > 0.98 * 900 and len(truth) - sum(truth) < 0.065 * 900
     assert all(r["source_hash"].startswith("tuishi") for r in run("p2_found"))
+
+
+def test_p2_found_and_p2_survivors_run_no_model(spark, data, compare, monkeypatch):
+    """Lineage order alone defines both; the model of sources, which could change none of their rows, is not run for them."""
+
+    def judged(*_):
+        raise AssertionError("no row of this query depends on the model")
+
+    monkeypatch.setattr(queries, "judge_values", judged)
+    for name in ("p2_found", "p2_survivors"):
+        compare(QUERIES[name], SQL[name])
